@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from corpusmill.llm import url_filter
+from corpusmill.llm import bpe, lang_id, url_filter
 from corpusmill.session import table
 
 URL_RULES = [url_filter.Rule("block", "net", "/"), url_filter.Rule("allow", "example.net", "/en/"), url_filter.Rule("block", "example.com", "/de/"), url_filter.Rule("allow", "org", "/fr/")]
@@ -16,4 +18,24 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op9_url_filter": op9_url_filter}
+def fold(key: str, folds: int) -> Column:
+    """The row's fold: CRC-32 of the key's decimal text, modulo ``folds``."""
+    return F.crc32(F.encode(F.col(key).cast("string"), "utf-8")) % folds
+
+
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, digest_only=True)
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold("doc_id", 4) == 2
+    model = lang_id.fit(docs.where(~held_out))
+    return lang_id.predict(docs, model, keep=("doc_id", held_out.alias("held_out")))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_byte_bpe": op2_byte_bpe,
+    "op9_url_filter": op9_url_filter,
+    "op10_language_id": op10_language_id,
+}
