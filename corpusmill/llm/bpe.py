@@ -12,7 +12,6 @@ Unicode; repeated rows are encoded row by row.
 from __future__ import annotations
 
 import base64
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -85,7 +84,6 @@ class Codec:
         self.token_bytes = np.frombuffer(b"".join(tokens), np.uint8)
         self.token_length = np.fromiter(map(len, tokens), np.int64, size)
         self.token_start = np.cumsum(self.token_length) - self.token_length
-        self.decimal = [str(i) for i in range(size)]
         self.held: dict[str, np.ndarray] = {}
         self.most = held
 
@@ -165,30 +163,19 @@ def codec(path: str, pattern: str) -> Codec:
     return _codecs[path, pattern]
 
 
-def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", keep: tuple[str | Column, ...] = ("doc_id",), digest_only: bool = False) -> DataFrame:
-    """``keep`` columns plus n_tokens, ids (array of int) and decoded (binary), the ids' bytes; with ``digest_only``
-    instead of the latter two their SHA-256 (ids as decimals joined by one space)."""
+def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", keep: tuple[str | Column, ...] = ("doc_id",)) -> DataFrame:
+    """``keep`` columns plus ids (array of int) and decoded (binary): the bytes that the ids map back to."""
     share_code(docs.sparkSession)
     chosen = docs.select(*keep, F.col(text).alias("__text"))
     names = chosen.columns[:-1]
-    out = docs.select(*keep).schema.add("n_tokens", "long")
-    out = out.add("ids_sha256", "string").add("decoded_sha256", "string") if digest_only else out.add("ids", "array<int>").add("decoded", "binary")
+    out = W.schema(docs.select(*keep), "ids array<int>, decoded binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
         for batch in W.slices(batches, "__text"):
             ids, bounds = own.encode(W.texts_of(batch, "__text"))
-            columns = [*(batch.column(c) for c in names), pa.array(np.diff(bounds))]
-            decoded = own.token_bytes[W.ragged(own.token_start[ids], own.token_length[ids])].tobytes()
-            at = np.concatenate([[0], np.cumsum(own.token_length[ids])])[bounds].tolist()
-            spans = list(zip(at[:-1], at[1:], strict=True))
-            if digest_only:
-                decimal, ends = list(map(own.decimal.__getitem__, ids.tolist())), bounds.tolist()
-                columns.append(pa.array([hashlib.sha256(" ".join(decimal[a:b]).encode()).hexdigest() for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.string()))
-                columns.append(pa.array([hashlib.sha256(decoded[a:b]).hexdigest() for a, b in spans], pa.string()))
-            else:
-                columns.append(pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids)))
-                columns.append(pa.array([decoded[a:b] for a, b in spans], pa.binary()))
-            yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in out.fields])
+            at = np.concatenate([[0], np.cumsum(own.token_length[ids])])[bounds]
+            decoded = pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(at.astype(np.int32).tobytes()), pa.py_buffer(own.decode(ids))])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids)), decoded], names=[f.name for f in out.fields])
 
     return chosen.mapInArrow(run, out)

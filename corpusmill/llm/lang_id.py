@@ -137,7 +137,7 @@ def predict(docs: DataFrame, model: Filters, text: str = "text", keep: tuple[str
     held = spark.sparkContext.broadcast(model)
     chosen = docs.select(*keep, F.col(text).alias("__text"))
     names = chosen.columns[:-1]
-    out = docs.select(*keep).schema.add("lang_pred", "string").add("score", "double")
+    out = W.schema(docs.select(*keep), "lang_pred string, score double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = held.value

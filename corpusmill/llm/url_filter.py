@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.llm import words as W
 from corpusmill.session import share_code
 
 _LOWER = {i: i + 32 for i in range(65, 91)}
@@ -103,7 +104,7 @@ def judge(pages: DataFrame, rules: list[Rule], url: str = "url", keep: tuple[str
     spark = pages.sparkSession
     share_code(spark)
     held = spark.sparkContext.broadcast(RuleTrie(rules))
-    out = pages.select(*keep).schema.add("host", "string").add("path", "string").add("rule", "string").add("verdict", "string")
+    out = W.schema(pages.select(*keep), "host string, path string, rule string, verdict string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = held.value

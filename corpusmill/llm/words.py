@@ -11,6 +11,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 SLICE_BYTES = 4 << 20
 #: ASCII white space to one space.
@@ -74,3 +76,8 @@ def sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Sum of ``values`` within each of the runs that ``bounds`` marks; empty runs give 0."""
     total = np.concatenate([np.zeros((1, *values.shape[1:]), values.dtype), np.cumsum(values, axis=0)])
     return total[bounds[1:]] - total[bounds[:-1]]
+
+
+def schema(frame: DataFrame, ddl: str) -> T.StructType:
+    """The columns of ``frame``, then those of the DDL text."""
+    return T.StructType([*frame.schema.fields, *T.StructType.fromDDL(ddl).fields])
