@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import bpe, lang_id, packing, token_counts, url_filter
+from corpusmill.llm import bpe, lang_id, packing, quality, token_counts, url_filter
 from corpusmill.session import table
 
 URL_RULES = [url_filter.Rule("block", "net", "/"), url_filter.Rule("allow", "example.net", "/en/"), url_filter.Rule("block", "example.com", "/de/"), url_filter.Rule("allow", "org", "/fr/")]
+QUALITY_LEAST = 0.3
 
 
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,6 +34,16 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def quality_model(spark: SparkSession, sf_dir: str) -> quality.Model:
+    """Fitted on labelled rows outside the held-out fold."""
+    return quality.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").where(fold("doc_id", 5) != 0))
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.score(table(spark, sf_dir, "documents"), quality_model(spark, sf_dir), keep=("doc_id", (fold("doc_id", 5) == 0).alias("held_out")))
+    return scored.withColumn("predicted", (F.col("score") >= QUALITY_LEAST).cast("int"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.attribute(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -47,6 +58,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_byte_bpe": op2_byte_bpe,
+    "op5_quality": op5_quality,
     "op6_token_counts": op6_token_counts,
     "op9_url_filter": op9_url_filter,
     "op10_language_id": op10_language_id,
