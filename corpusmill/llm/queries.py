@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import bpe, lang_id, packing, quality, token_counts, url_filter
+from corpusmill.llm import bpe, lang_id, packing, pii, quality, token_counts, url_filter
 from corpusmill.session import table
 
 URL_RULES = [url_filter.Rule("block", "net", "/"), url_filter.Rule("allow", "example.net", "/en/"), url_filter.Rule("block", "example.com", "/de/"), url_filter.Rule("allow", "org", "/fr/")]
@@ -34,6 +34,14 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = pii.attach(docs.select("doc_id", "text"), pii.find(docs))
+    text = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *map(count, pii.KINDS), F.sha2(text(F.filter("spans", lambda s: s["kind"] != pii.FOUND)), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"))
+
+
 def quality_model(spark: SparkSession, sf_dir: str) -> quality.Model:
     """Fitted on labelled rows outside the held-out fold."""
     return quality.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").where(fold("doc_id", 5) != 0))
@@ -58,6 +66,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_pii": op3_pii,
     "op5_quality": op5_quality,
     "op6_token_counts": op6_token_counts,
     "op9_url_filter": op9_url_filter,
