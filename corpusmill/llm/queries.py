@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import bpe, lang_id, packing, pii, quality, token_counts, url_filter
+from corpusmill.llm import bpe, fingerprint, lang_id, packing, pii, quality, token_counts, url_filter
 from corpusmill.session import table
 
 URL_RULES = [url_filter.Rule("block", "net", "/"), url_filter.Rule("allow", "example.net", "/en/"), url_filter.Rule("block", "example.com", "/de/"), url_filter.Rule("allow", "org", "/fr/")]
@@ -42,6 +42,20 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *map(count, pii.KINDS), F.sha2(text(F.filter("spans", lambda s: s["kind"] != pii.FOUND)), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"))
 
 
+def op4_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    pairs = fingerprint.compare_with_next(docs, fingerprint.lexicon(docs))
+    return pairs.select(
+        "doc_id",
+        "n_chars",
+        F.sha2(F.encode("edited", "utf-8"), 256).alias("edited_sha256"),
+        fingerprint.text_of(F.col("code")).alias("fingerprint"),
+        fingerprint.text_of(F.col("edited_code")).alias("edited_fingerprint"),
+        fingerprint.likeness(F.col("code"), F.col("edited_code")).alias("near_edited"),
+        fingerprint.likeness(F.col("code"), F.col("next_code")).alias("near_next"),
+    )
+
+
 def quality_model(spark: SparkSession, sf_dir: str) -> quality.Model:
     """Fitted on labelled rows outside the held-out fold."""
     return quality.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").where(fold("doc_id", 5) != 0))
@@ -67,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_pii": op3_pii,
+    "op4_fingerprint": op4_fingerprint,
     "op5_quality": op5_quality,
     "op6_token_counts": op6_token_counts,
     "op9_url_filter": op9_url_filter,
