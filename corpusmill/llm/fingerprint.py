@@ -5,9 +5,9 @@ band, that is, whose inverse document frequency does. Since the lower end is a s
 document) / (that share) ids can be in it, and as a bitmap the lexicon has 2**22 bits for any corpus.
 
 Several randomised subsets of the lexicon are fixed by hashing: on each of four levels, which keep all, a quarter, a
-sixteenth and a 64th of the ids, every id is in one of 16 subsets. A document's code for a subset is a hash of its sorted
+sixteenth and a 64th of the ids, every id is in one of 16 or 32 subsets. A document's code for a subset is a hash of its sorted
 distinct terms in it. Likeness is the share of equal codes among the subsets in which either document has a term, on the
-sparsest level that has enough of them (on all levels, if none has): so it is gradual for short and for long documents.
+sparsest levels that have enough of them (on all, if none have): so it is gradual for short and for long documents.
 
 Edge cases: null and empty texts have no terms; a text without terms in the band has one code from all its terms, compared
 as a whole; equal fingerprints have likeness 1; equal texts have equal fingerprints; an empty table gives an empty result.
@@ -23,9 +23,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 BITS = 22
-LEVELS, SLOTS = 4, 16
-#: A level decides on likeness if at least so many of its subsets have terms.
-ENOUGH = 6
+#: Subsets of each level; level l keeps one id in 4**l.
+SLOTS = (16, 32, 32, 32)
+#: A level, with the sparser ones, decides on likeness if at least so many of its subsets have terms.
+ENOUGH = 12
 #: Ranges of document order; their number is bounded, so what is known of each can be broadcast.
 MOST_RANGES, LEAST_ROWS = 1 << 16, 128
 
@@ -59,16 +60,16 @@ def _hash24(value: Column) -> Column:
 def _level(level: int, band: Column) -> Column:
     """The codes of one level's subsets."""
     kept = band if not level else F.filter(band, lambda t: F.pmod(F.hash(t, F.lit(100 + level)), F.lit(4**level)) == 0)
-    member = lambda b, k: F.filter(b, lambda t: F.pmod(F.hash(t, F.lit(level)), F.lit(SLOTS)) == k)
+    member = lambda b, k: F.filter(b, lambda t: F.pmod(F.hash(t, F.lit(level)), F.lit(SLOTS[level])) == k)
     code = lambda b: F.when(F.size(b) > 0, _hash24(b))
-    return _let(kept, lambda b: F.transform(F.array(*map(F.lit, range(SLOTS))), lambda k: _let(member(b, k), code)))
+    return _let(kept, lambda b: F.transform(F.array(*map(F.lit, range(SLOTS[level]))), lambda k: _let(member(b, k), code)))
 
 
 def codes(text: Column, bitmap: Column) -> Column:
     """One code per subset (null: no term in it), and last a code of all terms where none is in the lexicon (else null)."""
     in_band = lambda t: F.get(bitmap, F.shiftright(t, 6)).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(63))) != 0
     whole = lambda ids, band: F.array(F.when(F.size(band) == 0, _hash24(F.sort_array(ids))))
-    return _let(term_ids(text), lambda ids: _let(F.sort_array(F.filter(ids, in_band)), lambda band: F.concat(*(_level(level, band) for level in range(LEVELS)), whole(ids, band))))
+    return _let(term_ids(text), lambda ids: _let(F.sort_array(F.filter(ids, in_band)), lambda band: F.concat(*(_level(level, band) for level in range(len(SLOTS))), whole(ids, band))))
 
 
 def text_of(code: Column) -> Column:
@@ -85,7 +86,7 @@ def likeness(a: Column, b: Column) -> Column:
 
     def decide(all_of: Column) -> Column:
         some = lambda part: F.filter(part, lambda s: s.isNotNull())
-        levels = [share(some(F.slice(all_of, 1 + level * SLOTS, SLOTS)), ENOUGH) for level in reversed(range(LEVELS))]
+        levels = [share(some(F.slice(all_of, 1 + sum(SLOTS[:level]), sum(SLOTS[level:]))), ENOUGH) for level in reversed(range(len(SLOTS)))]
         return F.coalesce(*levels, share(some(all_of), 1), F.lit(1.0))
 
     return _let(same, decide)
