@@ -128,9 +128,10 @@ def find(docs: DataFrame, text: str = "text", key: str = "doc_id", **options) ->
 
 
 def attach(docs: DataFrame, spans: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``docs`` with their ``spans`` (empty where there are none)."""
+    """``docs`` with ``text_hash`` and their ``spans`` (empty where there are none). What ``docs`` has besides travels along."""
     right = spans.select(F.col("key").alias("__key"), F.col("text_hash").alias("__hash"), F.col("spans").alias("__spans"))
-    joined = docs.join(right, F.col(key).eqNullSafe(F.col("__key")) & (F.xxhash64(text) == F.col("__hash")), "left")
+    left = docs if "text_hash" in docs.columns else docs.withColumn("text_hash", F.xxhash64(text))
+    joined = left.join(right, F.col(key).eqNullSafe(F.col("__key")) & (F.col("text_hash") == F.col("__hash")), "left")
     return joined.withColumn("spans", F.coalesce("__spans", F.array().cast(right.schema["__spans"].dataType))).drop("__key", "__hash", "__spans")
 
 

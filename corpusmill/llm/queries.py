@@ -8,13 +8,17 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import bpe, fingerprint, lang_id, packing, pii, quality, token_counts, url_filter
+from corpusmill.llm import bpe, fingerprint, lang_id, near_vectors, packing, pii, quality, token_counts, url_filter
 from corpusmill.session import table
 
 URL_RULES = [url_filter.Rule("block", "net", "/"), url_filter.Rule("allow", "example.net", "/en/"), url_filter.Rule("block", "example.com", "/de/"), url_filter.Rule("allow", "org", "/fr/")]
 QUALITY_LEAST = 0.3
 
 
+def op8_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.link(table(spark, sf_dir, "embeddings"))
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -36,7 +40,7 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    found = pii.attach(docs.select("doc_id", "text"), pii.find(docs))
+    found = pii.attach(docs.select("doc_id", F.xxhash64("text").alias("text_hash")), pii.find(docs))
     text = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return found.select("doc_id", *map(count, pii.KINDS), F.sha2(text(F.filter("spans", lambda s: s["kind"] != pii.FOUND)), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"))
@@ -84,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_fingerprint": op4_fingerprint,
     "op5_quality": op5_quality,
     "op6_token_counts": op6_token_counts,
+    "op8_near_vectors": op8_near_vectors,
     "op9_url_filter": op9_url_filter,
     "op10_language_id": op10_language_id,
 }
