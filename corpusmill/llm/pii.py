@@ -90,7 +90,7 @@ def pattern_counts(docs: DataFrame, patterns: DataFrame, text: str = "text") ->
     return pairs.join(F.broadcast(wanted), "pair").groupBy("pattern").agg(F.count("*").alias("total"))
 
 
-def discover(docs: DataFrame, found: DataFrame, text: str = "text", rounds: int = 3, least_confidence: float = 0.6, least_support: int = 5, most_patterns: int = 20_000) -> DataFrame | None:
+def discover(docs: DataFrame, found: DataFrame, text: str = "text", rounds: int = 3, least_confidence: float = 0.6, least_support: int = 5, most_patterns: int = 2_000) -> DataFrame | None:
     """The values (strings outside the base kinds) that the patterns vouch for: value, score; None if there are none."""
     known = found.where(F.col("pattern").isNotNull())
     edges = materialise(known.groupBy("pattern", "value").agg(F.count("*").alias("n"), F.max((F.col("kind") != FOUND).cast("double")).alias("seed")), "pii-edges")
