@@ -14,9 +14,11 @@ as they need; an empty table gives no pieces; other columns are carried only if
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,34 +27,56 @@ from corpusmill.llm import words as W
 from corpusmill.session import share_code
 
 
+#: A run of letters, then a run of marks: two pre-tokens whatever they are, so they are encoded and remembered apart.
+_PLAIN = "^(?P<head>[a-z\u00df-\u00f6\u00f8-\u00ff]+)(?P<tail>[.,;:!?&%$#*|]+)$"
+
+
 class WordTokenizer:
     """A tokenizer whose model drops white space, so that texts can be cut there and equal words encoded once.
 
-    ASCII capitals are lowered before words are compared, which the tokenizer does anyway.
+    ASCII capitals are lowered before words are compared, which the tokenizer does anyway. Ids of the words seen last are
+    kept, one after another, in one array.
     """
 
-    def __init__(self, path: str, held: int = 400_000):
+    def __init__(self, path: str, held: int = 600_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.held: dict[str, list[int]] = {}
         self.most = held
+        self._forget()
+
+    def _forget(self) -> None:
+        self.place: dict[str, int] = {}
+        self.flat, self.end = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def _places(self, words: pa.Array) -> np.ndarray:
+        """Where each of the distinct words' ids are kept."""
+        names = words.to_pylist()
+        if len(self.place) + len(names) > self.most:
+            self._forget()
+        place, encode = self.place, self.tokenizer.encode
+        new = [w for w in names if w not in place]
+        if new:
+            ids = [encode(w, add_special_tokens=False).ids for w in new]
+            place.update(zip(new, range(len(place), len(place) + len(new)), strict=True))
+            length = np.fromiter(map(len, ids), np.int64, len(ids))
+            self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.uint32, int(length.sum()))])
+            self.end = np.concatenate([self.end, self.end[-1] + np.cumsum(length)])
+        return np.fromiter(map(place.__getitem__, names), np.int64, len(names))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, bounds) of whole texts."""
         bounds, index, distinct = W.split_words(W.mapped(texts, W.SPACES_LOWER))
-        names = distinct.to_pylist()
-        if len(self.held) + len(names) > self.most:
-            self.held.clear()
-        for w in names:
-            if w not in self.held:
-                self.held[w] = self.tokenizer.encode(w, add_special_tokens=False).ids
-        ids = [self.held[w] for w in names]
-        length = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((i for x in ids for i in x), np.uint32, int(length.sum()))
-        ends = np.cumsum(length)
-        return flat[W.ragged((ends - length)[index], length[index])], np.concatenate([[0], np.cumsum(length[index])])[bounds]
+        parts = pc.extract_regex(distinct, _PLAIN)
+        heads = pc.coalesce(pc.struct_field(parts, "head"), distinct).dictionary_encode()
+        tails = pc.fill_null(pc.struct_field(parts, "tail"), "").dictionary_encode()
+        both = self._places(pa.concat_arrays([heads.dictionary, tails.dictionary]))
+        head = both[: len(heads.dictionary)][heads.indices.to_numpy()]
+        tail = both[len(heads.dictionary) :][tails.indices.to_numpy()]
+        spans = np.stack([head, tail], axis=1)[index].ravel()
+        length = np.diff(self.end)[spans]
+        return self.flat[W.ragged(self.end[spans], length)], np.concatenate([[0], np.cumsum(length)])[2 * bounds]
 
 
 _tokenizers: dict[str, WordTokenizer] = {}
@@ -82,7 +106,7 @@ def pack(docs: DataFrame, path: str, longest: int = 2048, end_id: int = 1, text:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, next_id = tokenizer(path), TaskContext.get().partitionId() << 40
-        for batch in W.slices(batches, "__text"):
+        for batch in W.slices(batches, "__text", 16 << 20):
             ids, bounds = own.encode(W.texts_of(batch, "__text"))
             n = np.diff(bounds) + 1
             ends = np.cumsum(n)
