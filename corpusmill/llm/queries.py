@@ -8,13 +8,17 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import bpe, fingerprint, lang_id, near_vectors, packing, pii, quality, token_counts, url_filter
+from corpusmill.llm import bpe, fingerprint, lang_id, near_vectors, packing, pii, quality, shingle_join, token_counts, url_filter
 from corpusmill.session import table
 
 URL_RULES = [url_filter.Rule("block", "net", "/"), url_filter.Rule("allow", "example.net", "/en/"), url_filter.Rule("block", "example.com", "/de/"), url_filter.Rule("allow", "org", "/fr/")]
 QUALITY_LEAST = 0.3
 
 
+def op7_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingle_join.link(table(spark, sf_dir, "documents"), k=3, num=90, den=100)
+
+
 def op8_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.link(table(spark, sf_dir, "embeddings"))
 
@@ -88,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_fingerprint": op4_fingerprint,
     "op5_quality": op5_quality,
     "op6_token_counts": op6_token_counts,
+    "op7_shingle_join": op7_shingle_join,
     "op8_near_vectors": op8_near_vectors,
     "op9_url_filter": op9_url_filter,
     "op10_language_id": op10_language_id,
