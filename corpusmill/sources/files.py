@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,9 +38,15 @@ def _plain(path: Column) -> Column:
 
 
 def binary(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
-    """(path, length, content) of a file, or of a directory's files; columns that a query leaves out are not read."""
+    """(path, length, content) of a file, or of a directory's files; columns that a query leaves out are not read.
+
+    Spark's scan passes over files of no bytes, so they are added from its file index, which the driver has anyway.
+    """
     rows = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).load(path)
-    return rows.select(_plain(F.col("path")).alias("path"), "length", "content")
+    listed = spark.createDataFrame([(unquote(f),) for f in rows.inputFiles()], "path string").select(_plain(F.col("path")).alias("path"))
+    rows = rows.select(_plain(F.col("path")).alias("path"), "length", "content")
+    none = listed.join(rows.select("path"), "path", "left_anti").select("path", F.lit(0).cast("long").alias("length"), F.lit(b"").alias("content"))
+    return rows.unionByName(none)
 
 
 def html_files(spark: SparkSession, path: str, recursive: bool = True, long_suffix: bool = True) -> DataFrame:
