@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -57,3 +58,10 @@ def drop_materialised(*frames: DataFrame) -> None:
         jvm = df.sparkSession.sparkContext._jvm
         path = jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
         path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Lets Spark's cleaner remove the shuffle files of frames that are gone. It acts on what the driver's collectors find,
+    which in a long job on a small driver may come late."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
