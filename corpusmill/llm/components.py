@@ -1,36 +1,83 @@
-"""Connected components of large link tables: alternating large-star and small-star rounds.
+"""Connected components of large link tables.
 
-Each round is a few joins and map-side combined minima; its links are written to the shared folder, so that neither lineage
-nor the loss of executors grows with the rounds. Nothing is collected but two numbers a round.
+Each round points both ends of a link to the smallest neighbour that either has; trees collapse to stars in a few rounds.
+A round is one map-side combined minimum and two joins. Before links are shuffled, each task contracts its own to a
+spanning forest of stars, so what moves is bounded by the nodes a task has seen. Rounds are written to the shared folder:
+neither lineage nor the loss of executors grows with them. Nothing reaches the driver but two numbers a round.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.session import drop_materialised, materialise
+from corpusmill.session import drop_materialised, materialise, share_code
+
+
+def local_roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The smallest position in the component of each of n positions, linked by pairs (a, b)."""
+    root = np.arange(n)
+    while True:
+        low = root.copy()
+        np.minimum.at(low, root[a], root[b])
+        np.minimum.at(low, root[b], root[a])
+        low = low[low]
+        if (low == root).all():
+            return root
+        root = low
+
+
+def stars(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links (node, smallest node of its component), without the smallest ones themselves."""
+    nodes, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+    root = nodes[local_roots(len(nodes), at[: len(u)], at[len(u) :])]
+    moved = root != nodes
+    return nodes[moved], root[moved]
 
 
-def _links(df: DataFrame) -> DataFrame:
-    return df.where(F.col("u") != F.col("v")).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+def contract(links: DataFrame, most: int = 2_000_000) -> DataFrame:
+    """Links (u, v) with the same components, contracted per task in portions of at most ``most``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        for batch in batches:
+            held.append((batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)))
+            if sum(len(u) for u, _ in held) > most:
+                held = [stars(np.concatenate([u for u, _ in held]), np.concatenate([v for _, v in held]))]
+                if len(held[0][0]) > most // 2:
+                    u, v = held.pop()
+                    yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+        if held:
+            u, v = stars(np.concatenate([u for u, _ in held]), np.concatenate([v for _, v in held]))
+            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+
+    share_code(links.sparkSession)
+    return links.mapInArrow(run, "u long, v long")
+
+
+def mark_of(links: DataFrame) -> tuple:
+    """Two numbers that tell one state of the links from another."""
+    return tuple(links.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1_000_003)).first())
 
 
 def connected(links: DataFrame, a: str, b: str) -> DataFrame:
     """(node, component) for every node of ``links`` that has a link to another; component: the smallest node reachable."""
-    now = materialise(_links(links.select(F.col(a).alias("u"), F.col(b).alias("v"))), "links")
-    state = None
+    now = materialise(contract(links.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).where("u <> v")), "links")
+    mark = mark_of(now)
     while True:
-        mark = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1_000_003)).first()
-        if state == tuple(mark):
-            break
-        state = tuple(mark)
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where(F.col("v") > F.col("u")).join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        lowest = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(lowest, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(lowest.select("u", F.col("m").alias("v")))
-        after = materialise(_links(small), "links")
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        ends = now.join(least.withColumnRenamed("m", "mu"), "u").join(least.withColumnsRenamed({"u": "v", "m": "mv"}), "v")
+        lowest = F.least("mu", "mv")
+        pairs = ends.select(F.explode(F.array(F.struct(F.col("u"), lowest.alias("v")), F.struct(F.col("v").alias("u"), lowest.alias("v")))).alias("l")).select("l.u", "l.v").where("u <> v")
+        after = materialise(contract(pairs).distinct(), "links")
+        mark, last = mark_of(after), mark
         drop_materialised(now)
         now = after
-    return now.groupBy("u").agg(F.min("v").alias("v")).select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+        if mark == last:
+            break
+    return now.unionByName(now.select(F.col("v").alias("u"), "v").distinct()).select(F.col("u").alias("node"), F.col("v").alias("component"))

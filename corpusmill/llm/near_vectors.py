@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusmill.llm.components import connected
+from corpusmill.llm.components import connected, local_roots
 from corpusmill.session import materialise, share_code
 
 
@@ -53,19 +53,6 @@ def learn(x: np.ndarray, bits: int, seed: int = 11, rounds: int = 30) -> tuple[n
     return mean, np.concatenate(parts, axis=1)[:, :bits]
 
 
-def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The smallest position in each position's component."""
-    root = np.arange(n)
-    while True:
-        low = root.copy()
-        np.minimum.at(low, a, root[b])
-        np.minimum.at(low, b, root[a])
-        low = low[low]
-        if (low == root).all():
-            return root
-        root = low
-
-
 def link(vectors: DataFrame, least: float = 0.98, key: str = "vec_id", embedding: str = "embedding", label: str = "label", tables: int = 6, most_sample: int = 20_000, tile: int = 256) -> DataFrame:
     """One row per vector: ``key``, n_links, component_id (smallest key reachable by links), kept (it is that one)."""
     spark = vectors.sparkSession
@@ -124,7 +111,7 @@ def link(vectors: DataFrame, least: float = 0.98, key: str = "vec_id", embedding
         order = np.argsort(rep, kind="stable")
         place = np.empty(len(rep), np.int64)
         place[order] = np.arange(len(rep))
-        root = rep[order][_roots(len(rep), place[a], place[b])][place]
+        root = rep[order][local_roots(len(rep), place[a], place[b])][place]
         some = near.any(axis=1)
         return pd.DataFrame({"label": pdf["label"], "h": pdf["h"], "g": pdf["g"], "rep": rep, "links": links, "root": root})[some]
 

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.llm import words as W
 from corpusmill.llm.components import connected
-from corpusmill.session import materialise, share_code
+from corpusmill.session import drop_materialised, free_shuffles, materialise, share_code
 
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 TILE = 256
@@ -329,7 +329,7 @@ def link(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, text: str =
 
     columns = ["key", "class", "check", "n", "bucket", "keys", "members"]
     seen = materialise(rows.mapInArrow(describe, "key long, class long, check long, n long, bucket long, keys binary, members binary"), "shingle-keys")
-    described = seen.where("bucket is null").select("key", F.when(F.col("n") > 0, F.col("class")).alias("class"), F.when(F.col("n") > 0, F.col("check")).alias("check"), "n")
+    described = materialise(seen.where("bucket is null").select("key", F.when(F.col("n") > 0, F.col("class")).alias("class"), F.when(F.col("n") > 0, F.col("check")).alias("check"), "n"), "shingle-classes")
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key_, member = [], []
@@ -348,6 +348,9 @@ def link(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, text: str =
     packed = seen.where("bucket >= 0").select("bucket", "keys", "members").repartition(buckets, "bucket").select("keys", "members")
     shared = packed.mapInArrow(pair, "a long, b long").unionByName(seen.where("bucket = -1").select("keys", "members").mapInArrow(unpack, "a long, b long"))
     block = connected(shared, "a", "b").select(F.col("node").alias("class"), F.col("component").alias("block"))
+    drop_materialised(seen)
+    del seen, packed, shared
+    free_shuffles(spark)
 
     # one document of each class in a block, with its text
     classes = described.where("class is not null").groupBy("class", "check").agg(F.min("key").alias("rep"), F.first("n").alias("n"))
@@ -356,50 +359,61 @@ def link(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, text: str =
     chosen = chosen.join(sizes, "block").withColumn("tiles", F.ceil(F.col("size") / TILE))
     chosen = materialise(chosen.join(rows, F.col("rep") == F.col("key")).select("class", "block", "n", "tiles", "text"), "shingle-blocks")
 
+    free_shuffles(spark)
+
     # tiles within themselves
     tiled = chosen.select("block", F.when(F.col("tiles") == 1, F.lit(0)).otherwise(F.pmod(F.xxhash64("class"), F.col("tiles"))).alias("tile"), "class", F.col("class").alias("start"), F.lit(None).cast("int").alias("side"), "text")
     links = materialise(_block_links(tiled, ["block", "tile"], k, num, den), "shingle-links")
 
+    parts = materialise(connected(links, "a", "b").select(F.col("node").alias("class"), F.col("component").alias("start")), "shingle-parts")
+
     # what large blocks still have in several components
-    large = materialise(chosen.where("tiles > 1"), "shingle-large")
+    large = chosen.where("tiles > 1")
     if not large.isEmpty():
-        links = _join_tiles(large, links, k, num, den)
+        parts = _join_tiles(large, parts, k, num, den)
+    drop_materialised(chosen)
+    free_shuffles(spark)
 
-    parts = connected(links, "a", "b").select(F.col("node").alias("class"), "component")
+    parts = parts.withColumnRenamed("start", "component")
     members = described.where("class is not null").groupBy("class").agg(F.min("key").alias("rep")).join(parts, "class", "left").withColumn("component", F.coalesce("component", "class"))
     least = members.groupBy("component").agg(F.min("rep").alias("component_id"))
     known = members.join(least, "component").select("class", "component_id")
     return described.join(known, "class", "left").select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component_id", "key").alias("component_id"))
 
 
-def _join_tiles(large: DataFrame, links: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """``links`` and those between the tiles of large blocks."""
+def _join_tiles(large: DataFrame, parts: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """Components (class, start) by ``parts`` and by the links between the tiles of large blocks."""
     ratio = math.log(den / num) if num < den else 1.0
 
-    def with_parts(found: DataFrame) -> DataFrame:
-        parts = connected(found, "a", "b").select(F.col("node").alias("class"), F.col("component").alias("start"))
-        return large.join(parts, "class", "left").withColumn("start", F.coalesce("start", "class"))
+    def with_links(more: DataFrame) -> DataFrame:
+        found = connected(parts.select(F.col("class").alias("a"), F.col("start").alias("b")).unionByName(more), "a", "b")
+        return materialise(found.select(F.col("node").alias("class"), F.col("component").alias("start")), "shingle-parts")
+
+    ids = materialise(large.select("class", "block", "n"), "shingle-large")
+    texts = large.select("class", "text")
+
+    def placed_parts() -> DataFrame:
+        return ids.join(parts, "class", "left").withColumn("start", F.coalesce("start", "class"))
 
-    now = with_parts(links)
-    while True:  # one set of each component, until a block's fit into one tile or no more are joined
-        heads = now.groupBy("block", "start").agg(F.min("class").alias("class"))
+    while True:  # one set of each component, as long as that joins many of them
+        heads = placed_parts().groupBy("block", "start").agg(F.min("class").alias("class"))
         count = heads.groupBy("block").agg(F.count("*").alias("parts")).where("parts > 1")
-        heads = heads.join(count, "block").withColumn("tile", F.pmod(F.xxhash64("start", "parts"), F.ceil(F.col("parts") / TILE)))
-        few = now.join(heads.select("block", "class", "tile"), ["block", "class"]).select("block", "tile", "class", "start", F.lit(None).cast("int").alias("side"), "text")
-        more = materialise(_block_links(few, ["block", "tile"], k, num, den), "shingle-links")
-        n = more.count()
-        links = materialise(links.unionByName(more), "shingle-links")
-        if not n:
+        heads = materialise(heads.join(count, "block").select("block", "class", "start", F.pmod(F.xxhash64("start", "parts"), F.ceil(F.col("parts") / TILE)).alias("tile"), F.lit(None).cast("int").alias("side")), "shingle-heads")
+        more = materialise(_block_links(heads.join(texts, "class"), ["block", "tile"], k, num, den), "shingle-links")
+        joined = more.count()
+        if joined:
+            parts = with_links(more)
+        if joined < 0.25 * heads.count():
             break
-        now = with_parts(links)
 
+    now = placed_parts()
     # tiles of one large component each, or of small components together; by size class
     per = now.groupBy("block", "start").agg(F.count("*").alias("members"))
     open_blocks = per.groupBy("block").agg(F.count("*").alias("parts")).where("parts > 1").select("block")
-    rest = now.join(open_blocks, "block", "left_semi").join(per, ["block", "start"]).withColumns({"mixed": F.col("members") <= TILE, "owner": F.when(F.col("members") > TILE, F.col("start")).otherwise(0), "level": F.floor(F.log("n") / ratio).cast("long")})
-    rest = materialise(rest.select("block", "class", "start", "mixed", "owner", "level", "text"), "shingle-open")
+    rest = now.join(open_blocks, "block", "left_semi").join(per, ["block", "start"]).withColumns({"mixed": F.col("members") <= TILE, "owner": F.when(F.col("members") > TILE, F.col("start")).otherwise(0), "level": F.floor(F.log("n") / ratio + 1e-9).cast("long")})
+    rest = materialise(rest.select("block", "class", "start", "mixed", "owner", "level"), "shingle-open")
     if rest.isEmpty():
-        return links
+        return parts
     tile = ["block", "mixed", "owner", "level"]
     cells = materialise(rest.groupBy(*tile).agg(F.ceil(F.count("*") / TILE).alias("cells")), "shingle-cells")
     tiles = cells.select(*tile, F.explode(F.sequence(F.lit(0).cast("long"), F.col("cells") - 1)).alias("cell")).select("block", F.struct("level", "mixed", "owner", "cell").alias("p"))
@@ -410,5 +424,6 @@ def _join_tiles(large: DataFrame, links: DataFrame, k: int, num: int, den: int)
     side = lambda t, n: F.struct(F.col(t).alias("t"), F.lit(n).cast("int").alias("side"))
     ends = pairs.select("block", "pair", F.explode(F.when(F.col("p") == F.col("q"), F.array(side("p", None))).otherwise(F.array(side("p", 0), side("q", 1)))).alias("e")).select("block", "pair", "e.t.*", "e.side")
     placed = rest.join(cells, tile).withColumn("cell", F.pmod(F.xxhash64("class"), "cells"))
-    meet = placed.join(ends, [*tile, "cell"]).select("pair", "class", "start", "side", "text")
-    return links.unionByName(materialise(_block_links(meet, ["pair"], k, num, den), "shingle-links"))
+    meet = placed.join(ends, [*tile, "cell"]).select("pair", "class", "start", "side").join(texts, "class")
+    more = materialise(_block_links(meet, ["pair"], k, num, den), "shingle-links")
+    return parts if more.isEmpty() else with_links(more)
