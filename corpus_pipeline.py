@@ -41,9 +41,9 @@ def duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def private_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document stays; personal data in it is replaced by its kind in angle brackets."""
-    found = pii.attach(docs.select(*COLUMNS), pii.find(docs))
-    clean = pii.redact(F.col("text"), F.col("spans"))
-    return found.select("doc_id", clean.alias("text"), "lang", "source", F.when(F.size("spans") == 0, F.col("n_chars")).otherwise(F.length(clean).cast("long")).alias("n_chars"))
+    # under a name of its own first: an alias named text would be read inside the same projection
+    clean = pii.attach(docs.select(*COLUMNS), pii.find(docs)).withColumn("clean", pii.redact(F.col("text"), F.col("spans")))
+    return clean.select("doc_id", F.col("clean").alias("text"), "lang", "source", F.when(F.size("spans") == 0, F.col("n_chars")).otherwise(F.length("clean").cast("long")).alias("n_chars"))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
