@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from corpusmill.functions import codec, html, mime, paths
 from corpusmill.operators import analysis, documents, links, serve, store, toc, tooltips
@@ -164,7 +165,7 @@ def path_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def path_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Relative paths seen from a folder."""
     key = F.col("page_id").cast("string")
-    return table(spark, sf_dir, "pages").select("page_id", paths.resolve(F.concat(F.lit("site/a/b"), F.lit("")), F.concat(F.lit("../.././"), key, F.lit("//y/../x.html"))).alias("target"))
+    return table(spark, sf_dir, "pages").select("page_id", paths.resolve(F.lit("site/a/b"), F.concat(F.lit("../.././"), key, F.lit("//y/../x.html"))).alias("target"))
 
 
 @register("SELECT 'd' || doc_id % 97 AS path, min(doc_id) AS doc_id, arg_min(lang, doc_id) AS lang FROM documents GROUP BY ALL")
@@ -521,10 +522,8 @@ n AS (SELECT CASE WHEN total_size < m THEN 'OTHER' ELSE source END AS label, tot
 SELECT label, CAST(sum(v) AS BIGINT) AS value, array_to_string(list_sort(list(member) FILTER (member IS NOT NULL)), '|') AS members FROM n GROUP BY label""")
 def pie_other_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Small groups folded into one."""
-    sizes = _by_source(spark, sf_dir)
-    least = sizes.agg(F.avg("total_size").alias("m"))
-    joined = sizes.join(F.broadcast(least))  # one row
-    folded = analysis.fold_small(joined, "source", "total_size", F.col("m"))
+    sizes = _by_source(spark, sf_dir).withColumn("m", F.avg("total_size").over(Window.partitionBy()))  # aggregated rows, few
+    folded = analysis.fold_small(sizes, "source", "total_size", F.col("m"))
     return folded.select("label", "value", F.when(F.size("members") > 0, F.array_join("members", "|")).alias("members"))
 
 
