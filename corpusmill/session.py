@@ -9,6 +9,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Intermediate tables that this process has written.
+_MADE: list[str] = []
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 
@@ -46,18 +48,27 @@ def materialise(df: DataFrame, label: str = "step") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/corpusmill-{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _MADE.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clean(spark: SparkSession) -> None:
+    """Delete all intermediate tables of this process; to be called when no result is read any more."""
+    while _MADE:
+        _delete(spark, _MADE.pop())
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def drop_materialised(*frames: DataFrame) -> None:
     """Delete the files behind frames made by :func:`materialise` once nothing reads them any more."""
     for df in frames:
         files = df.inputFiles()
-        if not files:
-            continue
-        jvm = df.sparkSession.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
-        path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+        if files:
+            _delete(df.sparkSession, files[0].rpartition("/")[0])
 
 
 def free_shuffles(spark: SparkSession) -> None:
