@@ -66,9 +66,9 @@ def _delete(spark: SparkSession, folder: str) -> None:
 def drop_materialised(*frames: DataFrame) -> None:
     """Delete the files behind frames made by :func:`materialise` once nothing reads them any more."""
     for df in frames:
-        files = df.inputFiles()
-        if files:
-            _delete(df.sparkSession, files[0].rpartition("/")[0])
+        folder = (df.inputFiles() or [""])[0].rpartition("/")[0]
+        if folder.rpartition("/")[2].startswith("corpusmill-"):  # never anything but an intermediate table
+            _delete(df.sparkSession, folder)
 
 
 def free_shuffles(spark: SparkSession) -> None:

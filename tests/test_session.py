@@ -15,3 +15,6 @@ def test_materialise_and_drop(spark):
     session.clean(spark)
     assert not glob.glob(f"{folder}/corpusmill-*")
     session.drop_materialised(spark.range(1))
+    spark.range(3).write.parquet(f"{folder}/mine")
+    session.drop_materialised(spark.read.parquet(f"{folder}/mine"))
+    assert spark.read.parquet(f"{folder}/mine").count() == 3
