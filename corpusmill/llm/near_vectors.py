@@ -10,8 +10,8 @@ Equal vectors of a label are one class. Buckets beyond ``tile`` members are cut
 block, so no task holds more than two tiles; a block gives one row per vector, never its pairs. A pair is counted only in
 the first table that it shares.
 
-Edge cases: vectors that are null, zero, of another length than most, or hold null or non-finite components, and rows
-without a label, link with nothing; rows that share their id count as separate vectors of one component; an empty table
+Edge cases: vectors that are null, zero, or hold null or non-finite components, and rows
+without a label, link with nothing; vectors of another length than most link with their equals only; rows that share their id count as separate vectors of one component; an empty table
 gives an empty result.
 """
 
@@ -20,13 +20,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusmill.llm.components import connected, local_roots
+from corpusmill.llm.components import connected, stars
 from corpusmill.session import materialise, share_code
 
 
@@ -95,29 +94,52 @@ def link(vectors: DataFrame, least: float = 0.98, key: str = "vec_id", embedding
     pairs = F.explode(F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda t: F.struct(F.least(t, "mine").alias("lo"), F.greatest(t, "mine").alias("hi")))).alias("pair")
     blocks = members.withColumn("mine", mine).select("class", "rep", "n", "x", "chunks", "label", "table", "chunk", "mine", pairs)
 
-    def block(pdf: pd.DataFrame) -> pd.DataFrame:
-        x, c = unit(np.stack(pdf["x"].to_numpy())), np.stack(pdf["chunks"].to_numpy())
-        lo, hi, at = pdf["pair_lo"].iloc[0], pdf["pair_hi"].iloc[0], pdf["table"].iloc[0]
-        near = x @ x.T >= least
-        np.fill_diagonal(near, False)
-        if lo != hi:
-            side = pdf["mine"].to_numpy() == lo
-            near &= side[:, None] != side[None, :]
-        a, b = np.nonzero(near)
-        fresh = ~(c[a, :at] == c[b, :at]).any(axis=1)
-        n = pdf["n"].to_numpy()
-        links = np.bincount(a[fresh], n[b[fresh]], len(x)).astype(np.int64)
-        rep = pdf["rep"].to_numpy()
-        order = np.argsort(rep, kind="stable")
-        place = np.empty(len(rep), np.int64)
-        place[order] = np.arange(len(rep))
-        root = rep[order][local_roots(len(rep), place[a], place[b])][place]
-        some = near.any(axis=1)
-        return pd.DataFrame({"label": pdf["label"], "h": pdf["h"], "g": pdf["g"], "rep": rep, "links": links, "root": root})[some]
-
-    flat = blocks.select("label", F.col("class.h").alias("h"), F.col("class.g").alias("g"), "rep", "n", "x", "chunks", "table", "chunk", "mine", F.col("pair.lo").alias("pair_lo"), F.col("pair.hi").alias("pair_hi"))
-    met = materialise(flat.groupBy("label", "table", "chunk", "pair_lo", "pair_hi").applyInPandas(block, "label long, h long, g int, rep long, links long, root long"), "vector-links")
-    totals = met.groupBy("label", "h", "g").agg(F.sum("links").alias("links"))
-    parts = connected(met.select("rep", "root"), "rep", "root")
+    by = ["label", "table", "chunk", "pair_lo", "pair_hi"]
+    flat = blocks.select("label", F.col("table").cast("long").alias("table"), "chunk", F.col("pair.lo").cast("long").alias("pair_lo"), F.col("pair.hi").cast("long").alias("pair_hi"), F.col("class.h").alias("h"), F.col("class.g").alias("g"), "rep", "n", "mine", "x", "chunks")
+
+    def solve(rows: pa.RecordBatch, bounds: np.ndarray) -> pa.RecordBatch:
+        """Links of whole blocks, rows ``bounds[i]`` to ``bounds[i + 1]`` each; then a spanning forest of theirs."""
+        column = lambda name: rows.column(name).to_numpy(zero_copy_only=False)
+        x, c = unit(rows.column("x").flatten().to_numpy().reshape(-1, dim)), rows.column("chunks").flatten().to_numpy().reshape(-1, tables)
+        table, lo, hi, mine, n, rep = (column(name) for name in ("table", "pair_lo", "pair_hi", "mine", "n", "rep"))
+        found_a, found_b = [], []
+        for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            near = x[i:j] @ x[i:j].T >= least
+            if lo[i] != hi[i]:
+                side = mine[i:j] == lo[i]
+                near &= side[:, None] != side[None, :]
+            a, b = np.nonzero(near)
+            found_a.append(a + i)
+            found_b.append(b + i)
+        a, b = np.concatenate(found_a), np.concatenate(found_b)
+        a, b = a[a != b], b[a != b]
+        earlier = np.arange(tables)[None, :] < table[a][:, None]
+        fresh = ~((c[a] == c[b]) & earlier).any(axis=1)
+        count = np.bincount(a[fresh], n[b[fresh]], len(x)).astype(np.int64)
+        some = np.flatnonzero(count)
+        node, root = stars(rep[a], rep[b])
+        none = pa.nulls(len(node), pa.int64())
+        empty = pa.nulls(len(some), pa.int64())
+        take = lambda name, kind: pa.concat_arrays([rows.column(name).take(pa.array(some)).cast(kind), pa.nulls(len(node), kind)])
+        return pa.RecordBatch.from_arrays([take("label", pa.int64()), take("h", pa.int64()), take("g", pa.int32()), pa.concat_arrays([pa.array(count[some]), none]), pa.concat_arrays([empty, pa.array(node)]), pa.concat_arrays([empty, pa.array(root)])], names=["label", "h", "g", "links", "rep", "root"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if held is not None:
+                batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+            if not batch.num_rows:
+                continue
+            key = np.stack([batch.column(k).to_numpy(zero_copy_only=False) for k in by], axis=1)
+            cut = np.concatenate([[0], np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1])
+            held = batch.slice(int(cut[-1]))  # the last block may go on
+            if len(cut) > 1:
+                yield solve(batch.slice(0, int(cut[-1])), cut)
+        if held is not None:
+            yield solve(held, np.array([0, held.num_rows]))
+
+    met = materialise(flat.repartition(*by).sortWithinPartitions(*by).mapInArrow(run, "label long, h long, g int, links long, rep long, root long"), "vector-links")
+    totals = met.where("label is not null").groupBy("label", "h", "g").agg(F.sum("links").alias("links"))
+    parts = connected(met.where("rep is not null").select("rep", "root"), "rep", "root")
     known = classes.select("class.*", "rep", "n").join(totals, ["label", "h", "g"], "left").join(parts, F.col("rep") == F.col("node"), "left").select(F.struct("label", "h", "g").alias("class"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
     return rows.select("key", "class").join(known, "class", "left").select(F.col("key").alias(key), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "key").alias("component_id"), (F.col("key") == F.coalesce("component_id", "key")).alias("kept"))
