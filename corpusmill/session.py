@@ -9,6 +9,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 #: Intermediate tables that this process has written.
 _MADE: list[str] = []
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -20,14 +21,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def share_code(spark: SparkSession) -> None:
-    """Let Python workers on this host import the package when it is run from a checkout.
-
-    On a cluster the package is shipped with ``--py-files`` or installed; the extra path is harmless there.
+    """Prepares a session for Python operators: workers on this host can import the package when it is run from a checkout
+    (on a cluster it is shipped with ``--py-files`` or installed), and Arrow batches are bounded in bytes, so that rows of
+    very long texts do not fill a worker. A bound that the session's owner has chosen stays.
     """
     env = spark.sparkContext.environment
     have = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if ROOT not in have:
         env["PYTHONPATH"] = os.pathsep.join([ROOT, *have])
+    if spark.conf.get(_BATCH_BYTES, "67108864b") == "67108864b":  # Spark's default
+        spark.conf.set(_BATCH_BYTES, "8388608b")
 
 
 def shared_dir(spark: SparkSession) -> str:
