@@ -68,7 +68,7 @@ def serialise(ranks: dict[bytes, int]) -> bytes:
 class Codec:
     """Encoder and decoder of one vocabulary file; ``held`` bounds the strings whose encodings are remembered."""
 
-    def __init__(self, path: str, pattern: str, held: int = 400_000):
+    def __init__(self, path: str, pattern: str, held: int = 250_000):
         import sentencepiece
 
         self.ranks = read_ranks(path)

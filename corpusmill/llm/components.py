@@ -1,8 +1,8 @@
 """Connected components of large link tables.
 
 Each round points both ends of a link to the smallest neighbour that either has; trees collapse to stars in a few rounds.
-A round is one map-side combined minimum and two joins. Before links are shuffled, each task contracts its own to a
-spanning forest of stars, so what moves is bounded by the nodes a task has seen. Rounds are written to the shared folder:
+A round is one map-side combined minimum and two joins. Before a round's links are shuffled, each task contracts its own
+to a spanning forest of stars, so what moves is bounded by the nodes a task has seen. Rounds are written to the shared folder:
 neither lineage nor the loss of executors grows with them. Nothing reaches the driver but two numbers a round.
 """
 
@@ -66,7 +66,7 @@ def mark_of(links: DataFrame) -> tuple:
 
 def connected(links: DataFrame, a: str, b: str) -> DataFrame:
     """(node, component) for every node of ``links`` that has a link to another; component: the smallest node reachable."""
-    now = materialise(contract(links.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).where("u <> v")), "links")
+    now = materialise(links.select(F.greatest(F.col(a), F.col(b)).cast("long").alias("u"), F.least(F.col(a), F.col(b)).cast("long").alias("v")).where("u <> v").distinct(), "links")
     mark = mark_of(now)
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))

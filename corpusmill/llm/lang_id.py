@@ -11,12 +11,12 @@ training table gives ``und`` for all rows; extra columns are ignored unless name
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -83,7 +83,7 @@ def word_grams(distinct: list[str], sizes: tuple[int, ...]) -> tuple[np.ndarray,
     return np.concatenate(hashes)[order], np.concatenate([[0], np.cumsum(np.bincount(owners_all, minlength=len(marked)))]), letters
 
 
-def fit(train: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", docs_per_language: int = 600, sizes: tuple[int, ...] = (1, 2, 3, 4), width: int = 1 << 21, hashes: int = 3, least: float = 2e-5) -> Filters:
+def fit(train: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", docs_per_language: int = 400, sizes: tuple[int, ...] = (1, 2, 3, 4), width: int = 1 << 21, hashes: int = 3, least: float = 2e-5) -> Filters:
     """Filters from at most about ``docs_per_language`` labelled rows of each language, those of smallest hashed ``key``.
 
     An n-gram belongs to a language if it makes up ``least`` of that language's n-grams and occurs twice. At most 64
@@ -97,19 +97,19 @@ def fit(train: DataFrame, text: str = "text", lang: str = "lang", key: str = "do
         share = min(1.0, docs_per_language / counts[name])
         sample |= (F.col(lang) == name) & (F.pmod(F.xxhash64(F.col(key)), F.lit(1 << 30)) < int(share * (1 << 30)))
     pieces = rows.where(sample).select(lang, F.explode(F.split(text, r"\s+")).alias("w")).groupBy(lang, "w").count()
-    by_language: dict[str, tuple[list[str], list[int]]] = {}
-    for name, w, n in pieces.collect() if languages else ():
-        held = by_language.setdefault(name, ([], []))
-        held[0].append(w)
-        held[1].append(n)
+    by_language: dict[str, tuple[list[str], np.ndarray]] = {}
+    if languages:
+        counted = pieces.toArrow()
+        for name in languages:
+            own = counted.filter(pc.equal(counted.column(0), name))
+            by_language[name] = own.column(1).to_pylist(), own.column(2).to_numpy()
     slices = np.zeros(width, np.uint64)
     rates = np.zeros(max(1, len(languages)))
     for i, name in enumerate(languages):
-        distinct, n = by_language.get(name, ([], []))
+        distinct, n = by_language[name]
         grams, bounds, _ = word_grams(distinct, sizes)
-        total = Counter()
         unique, inverse = np.unique(grams, return_inverse=True)
-        total = np.bincount(inverse, np.repeat(np.array(n, float), np.diff(bounds)), len(unique)) if len(unique) else np.zeros(0)
+        total = np.bincount(inverse, np.repeat(n.astype(float), np.diff(bounds)), len(unique)) if len(unique) else np.zeros(0)
         real = unique[(total >= 2) & (total >= least * total.sum())]
         for at in positions(real, width, hashes):
             slices[at] |= np.uint64(1 << i)
@@ -117,16 +117,18 @@ def fit(train: DataFrame, text: str = "text", lang: str = "lang", key: str = "do
     return Filters(languages, slices, rates, sizes, hashes)
 
 
-def word_scores(model: Filters, distinct: list[str]) -> np.ndarray:
+def word_scores(model: Filters, distinct: list[str], portion: int = 1 << 14) -> np.ndarray:
     """One row per string: hits of each language, then n-grams, then 1 if there is a letter."""
     k = len(model.languages)
     out = np.zeros((len(distinct), k + 2))
-    grams, bounds, letters = word_grams(distinct, model.sizes)
-    found = model.find(grams)
-    for i in range(k):
-        out[:, i] = W.sums(((found >> np.uint64(i)) & np.uint64(1)).astype(np.int64), bounds)
-    out[:, k] = np.diff(bounds)
-    out[:, k + 1] = letters
+    for at in range(0, len(distinct), portion):
+        part = slice(at, min(len(distinct), at + portion))
+        grams, bounds, letters = word_grams(distinct[part], model.sizes)
+        found = model.find(grams)
+        for i in range(k):
+            out[part, i] = W.sums(((found >> np.uint64(i)) & np.uint64(1)).astype(np.int64), bounds)
+        out[part, k] = np.diff(bounds)
+        out[part, k + 1] = letters
     return out
 
 

@@ -69,7 +69,7 @@ def pool(texts: pa.Array, vectors: np.ndarray) -> np.ndarray:
     n = np.diff(bounds)
     owner = np.repeat(np.arange(len(n)), n)
     out = np.zeros((len(n), dim + EXTRAS))
-    step = max(1, (1 << 22) // size)
+    step = max(1, (1 << 20) // size)
     for a in range(0, len(n), step):
         b = min(len(n), a + step)
         part = slice(bounds[a], bounds[b])
@@ -106,7 +106,9 @@ def word_vectors(texts: pa.Array, size: int, dim: int, window: int, seed: int) -
             for here, there in ((left, right), (right, left)):
                 for i, j in ((0, 1), (1, 1)):
                     pair, count = np.unique(here[:, i] * size + there[:, j], return_counts=True)
-                    np.add.at(context, pair // size, plain[pair % size] * count[:, None].astype(np.float32))
+                    for a in range(0, len(pair), 1 << 16):  # a portion at a time: the driver's memory is small
+                        part, n = pair[a : a + (1 << 16)], count[a : a + (1 << 16), None]
+                        np.add.at(context, part // size, plain[part % size] * n.astype(np.float32))
     norm = np.linalg.norm(context, axis=1, keepdims=True)
     return np.concatenate([plain / 2, context / np.maximum(norm, 1e-9)], axis=1)
 

@@ -6,6 +6,7 @@ Python only ever touches *distinct* strings. Whole texts are processed, whatever
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,6 +15,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+try:
+    _LIBC = ctypes.CDLL("libc.so.6")
+except OSError:  # another C library
+    _LIBC = None
+
 SLICE_BYTES = 4 << 20
 #: ASCII white space to one space.
 SPACES = bytes(32 if b in (9, 10, 11, 12, 13) else b for b in range(256))
@@ -21,6 +27,13 @@ SPACES = bytes(32 if b in (9, 10, 11, 12, 13) else b for b in range(256))
 SPACES_LOWER = bytes(b + 32 if 65 <= b <= 90 else SPACES[b] for b in range(256))
 
 
+def trim() -> None:
+    """Gives freed memory back to the machine: workers live on from task to task, beside their executor's heap."""
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that each slice has at most ``most`` bytes of text, or one row."""
     for batch in batches:
@@ -34,6 +47,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = SLICE_BYTES
                 start, total = i, 0.0
             total += n
         yield batch.slice(start)
+        trim()
 
 
 def texts_of(batch: pa.RecordBatch, text: str) -> pa.Array:
@@ -42,9 +56,11 @@ def texts_of(batch: pa.RecordBatch, text: str) -> pa.Array:
 
 
 def mapped(texts: pa.Array, table: bytes) -> pa.Array:
-    """Each byte of every text through ``table``, which changes ASCII only."""
-    buffers = texts.buffers()
-    return pa.Array.from_buffers(texts.type, len(texts), [None, buffers[1], pa.py_buffer(buffers[2].to_pybytes().translate(table) if buffers[2] else b"")], offset=texts.offset)
+    """Each byte of every text (large strings without nulls) through ``table``, which changes ASCII only."""
+    _, ends, data = texts.buffers()
+    ends = np.frombuffer(ends, np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+    own = data.slice(ends[0], ends[-1] - ends[0]).to_pybytes().translate(table) if data else b""
+    return pa.Array.from_buffers(pa.large_string(), len(texts), [None, pa.py_buffer((ends - ends[0]).tobytes()), pa.py_buffer(own)])
 
 
 def split_words(texts: pa.Array, keep_empty: bool = False) -> tuple[np.ndarray, np.ndarray, pa.Array]:
