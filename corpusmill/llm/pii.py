@@ -7,7 +7,7 @@ several different instances support, and scores identifier-like strings after th
 instances of the next round. Accepted strings outside the base kinds become spans of kind ``id``.
 
 Only occurrences, a small share of the text, are shuffled; texts are read where they lie. Of the patterns, at most
-``2 * most_patterns`` can have the support that lets them be counted, whatever the corpus; only those are broadcast.
+``most_patterns`` can have the support that lets them be counted, whatever the corpus; only those are broadcast.
 
 Positions are code points, ends exclusive. Edge cases: null and empty texts have no spans; equal rows (same key and text)
 get equal results, one row each; rows that share a key but not their text are kept apart; long runs of digits, dots or
