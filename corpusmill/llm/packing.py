@@ -38,7 +38,7 @@ class WordTokenizer:
     kept, one after another, in one array.
     """
 
-    def __init__(self, path: str, held: int = 600_000):
+    def __init__(self, path: str, held: int = 800_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -106,7 +106,7 @@ def pack(docs: DataFrame, path: str, longest: int = 2048, end_id: int = 1, text:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, next_id = tokenizer(path), TaskContext.get().partitionId() << 40
-        for batch in W.slices(batches, "__text", 16 << 20):
+        for batch in W.slices(batches, "__text", 8 << 20):
             ids, bounds = own.encode(W.texts_of(batch, "__text"))
             n = np.diff(bounds) + 1
             ends = np.cumsum(n)
