@@ -4,17 +4,18 @@ A document's set is that of its distinct k-word shingles, hashed to 64 bits; equ
 their intersection is at least ``num / den`` of their union; a document's component is what links reach.
 
 1. *Blocks.* Of sets of similar size, a linked pair differs in at most d shingles. Shingles are dealt to more than d groups
-   by hash, so some group holds the same shingles in both sets. Each set gives a key for each of its groups; groups with few
-   shingles are left out as long as more than d others remain, which keeps the guarantee and drops weak keys. Keys are
-   combined per task before they are shuffled, packed as bytes, and sorted there; sets that share a key are joined to a
-   block (connected components of such pairs). Links never leave a block. Most sets share no key and are done.
+   by hash, so in some groups, at least as many as the set fills beyond d, both sets hold the same shingles. Each set gives
+   a key for each group it fills. Keys are combined per task before they are shuffled, packed as bytes, and sorted there. A
+   set that shares fewer keys than a link needs is done; most sets share none or a few by chance. The others are joined to
+   blocks (connected components of sets that share a key). Links never leave a block.
 2. *Signature trees.* Within a block, nodes hold the OR of their sets' token bitmaps, their size range and the tokens that
    collisions hide. Both sides of a join are descended together; a pair of nodes whose largest possible overlap, or whose
    sizes, rule out a link is dropped, and so is a pair whose sets are one component already. What remains is checked on the
    sets themselves.
-3. *Large blocks* are cut into tiles. Tiles are joined within themselves first, then one set of each component found, then,
-   only where a block still has several components, all pairs of tiles that may hold sets of different components and
-   similar size. Every pair of different components is thus examined, and no task holds more than two tiles.
+3. *Large blocks* are cut into tiles. Tiles are joined within themselves first, then one set of each component found. Where
+   a block still has several components, it is joined by the sets of each key that differ in component, or, where that
+   would be more, as a whole. More than a tile of sets is joined by pairs of tiles that may hold sets of different
+   components and similar size. Every pair that could link is thus examined, and no task holds more than two tiles.
 
 Rows leave a task as links of a spanning forest, at most one per set and task, never as pairs.
 
@@ -41,7 +42,7 @@ from corpusmill.session import drop_materialised, free_shuffles, materialise, sh
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 TILE = 256
 #: Keys that a task gathers before it sends them on.
-GATHER = 2_000_000
+GATHER = 800_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -97,7 +98,7 @@ def scheme(number: int, num: int, den: int) -> Scheme:
     low, high = math.ceil(1.5**number), math.ceil(1.5 ** (number + 1))
     a = high - 1  # |x| <= a, |y| <= a * den / num; the overlap is at least (|x| + |y|) * num / (num + den)
     d = (den - num) * (a + a * den // num) // (den + num)
-    return Scheme(number, low, high, d, (d + 1) * 3 // 2 + 2)
+    return Scheme(number, low, high, d, (d + 1) * 27 // 20 + 2)
 
 
 def number_of(n: int) -> int:
@@ -109,14 +110,17 @@ def number_of(n: int) -> int:
     return c
 
 
-def keys(values: np.ndarray, bounds: np.ndarray, classes: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-    """(key, class) of the groups of each set, for the scheme of its size and, if it may be the larger of a pair there,
-    the one below. Schemes in which linked sets cannot differ give none: equal sets are one class already."""
+def keys(values: np.ndarray, bounds: np.ndarray, classes: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, class, needs): the keys of each set's groups that hold shingles, for the scheme of its size and, if it may be
+    the larger of a pair there, the one below. A key's lowest bit is the scheme's parity. needs[i, parity]: how many of its
+    keys set i shares at least with a set that it links to: its groups with shingles less those that may differ. (Sets with
+    too few such groups give their empty groups too, and need one.) Schemes in which linked sets cannot differ give none:
+    equal sets are one class already."""
     n = np.diff(bounds)
     sizes, inverse = np.unique(n, return_inverse=True)
     own = np.array([number_of(x) if x else -1 for x in sizes.tolist()])
     low = np.array([math.ceil(1.5**c) if c >= 0 else 0 for c in own.tolist()])
-    out_k, out_c = [], []
+    out_k, out_c, needs = [], [], np.zeros((len(n), 2), np.int64)
     for step in (0, 1):
         number = own[inverse] - step
         fits = (n > 0) & (number >= 0)
@@ -131,30 +135,32 @@ def keys(values: np.ndarray, bounds: np.ndarray, classes: np.ndarray, num: int,
             v = mix(values[take] ^ np.uint64((c + 1) * int(_A) & (1 << 64) - 1))
             cell = np.repeat(np.arange(len(rows)), n[rows]) * s.groups + ((v >> np.uint64(32)) * np.uint64(s.groups) >> np.uint64(32)).astype(np.int64)
             size = len(rows) * s.groups
-            count = np.bincount(cell, minlength=size)
+            filled = (np.bincount(cell, minlength=size) > 0).reshape(len(rows), s.groups)
             total = np.zeros(size, np.uint64)
             np.add.at(total, cell, mix(v * _A))
-            count = count.reshape(len(rows), s.groups)
-            least = np.zeros(len(rows), np.int64)
-            for t in (1, 2, 3, 4):  # groups of t shingles or more suffice
-                least[(count >= t).sum(axis=1) > s.d] = t
-            r, g = np.nonzero(count >= least[:, None])
+            held = filled.sum(axis=1)
+            needs[rows, c & 1] = np.maximum(1, held - s.d)
+            r, g = np.nonzero(filled | (held <= s.d)[:, None])
             key = mix(total.reshape(len(rows), s.groups)[r, g] * _A + g.astype(np.uint64) * _C + np.uint64(c))
-            out_k.append(key)
+            out_k.append(key & ~np.uint64(1) | np.uint64(c & 1))
             out_c.append(classes[rows[r]])
-    return np.concatenate([np.zeros(0, np.uint64), *out_k]), np.concatenate([np.zeros(0, np.int64), *out_c])
+    return np.concatenate([np.zeros(0, np.uint64), *out_k]), np.concatenate([np.zeros(0, np.int64), *out_c]), needs
 
 
-def stars(key: np.ndarray, member: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(distinct keys, the least member of each, and pairs (member, least member) of keys with several members)."""
+def stars(key: np.ndarray, member: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(distinct keys, the least member of each; then key, member and least member of all entries of keys that have
+    several members)."""
     order = np.lexsort((member, key))
     key, member = key[order], member[order]
+    once = np.ones(len(key), bool)
+    once[1:] = (key[1:] != key[:-1]) | (member[1:] != member[:-1])
+    key, member = key[once], member[once]
     new = np.ones(len(key), bool)
     new[1:] = key[1:] != key[:-1]
-    least = member[new][np.cumsum(new) - 1] if len(key) else member
-    differ = member != least
-    pairs = np.unique(np.stack([member[differ], least[differ]], axis=1), axis=0)
-    return key[new], member[new], pairs[:, 0], pairs[:, 1]
+    run = np.cumsum(new) - 1
+    many = (np.bincount(run) > 1)[run] if len(key) else new
+    least = member[new][run] if len(key) else member
+    return key[new], member[new], key[many], member[many], least[many]
 
 
 class Forest:
@@ -304,32 +310,36 @@ def link(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, text: str =
         held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def flush() -> pa.RecordBatch:
-            key_, least, a, b = stars(np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held]))
+            key_, least, *many = stars(np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held]))
             held.clear()
             where = (key_ >> np.uint64(33)).astype(np.int64) % buckets
             order = np.argsort(where, kind="stable")
             cut = np.concatenate([[0], np.cumsum(np.bincount(where, minlength=buckets))]).tolist()
             sent = [(i, key_[order[x:y]].tobytes(), least[order[x:y]].tobytes()) for i, (x, y) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if y > x]
-            sent.append((-1, a.astype(np.int64).tobytes(), b.astype(np.int64).tobytes()))
+            sent.append((-1, many[0].tobytes(), np.concatenate(many[1:]).tobytes()))
             n = len(sent)
-            return pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array([s[0] for s in sent], pa.int64()), pa.array([s[1] for s in sent], pa.binary()), pa.array([s[2] for s in sent], pa.binary())], names=columns)
+            return pa.RecordBatch.from_arrays([*[pa.nulls(n, pa.int64())] * 6, pa.array([s[0] for s in sent], pa.int64()), pa.array([s[1] for s in sent], pa.binary()), pa.array([s[2] for s in sent], pa.binary())], names=columns)
 
-        for batch in W.slices(batches, "text"):
+        for batch in W.slices(batches, "text", 2 << 20):
             values, bounds = shingles(W.texts_of(batch, "text"), k)
             h, g = digests(values, bounds)
             n = batch.num_rows
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(h), pa.array(g), pa.array(np.diff(bounds)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary())], names=columns)
-            _, first = np.unique(h, return_index=True)
+            _, first, same = np.unique(h, return_index=True, return_inverse=True)
             starts, length = bounds[:-1][first], np.diff(bounds)[first]
-            held.append(keys(values[W.ragged(starts, length)], np.concatenate([[0], np.cumsum(length)]), h[first], num, den))
+            *entries, needs = keys(values[W.ragged(starts, length)], np.concatenate([[0], np.cumsum(length)]), h[first], num, den)
+            held.append(tuple(entries))
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(h), pa.array(g), pa.array(np.diff(bounds)), pa.array(needs[same, 0]), pa.array(needs[same, 1]), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary())], names=columns)
             if sum(len(x) for x, _ in held) > GATHER:
                 yield flush()
         if held:
             yield flush()
 
-    columns = ["key", "class", "check", "n", "bucket", "keys", "members"]
-    seen = materialise(rows.mapInArrow(describe, "key long, class long, check long, n long, bucket long, keys binary, members binary"), "shingle-keys")
-    described = materialise(seen.where("bucket is null").select("key", F.when(F.col("n") > 0, F.col("class")).alias("class"), F.when(F.col("n") > 0, F.col("check")).alias("check"), "n"), "shingle-classes")
+    columns = ["key", "class", "check", "n", "even", "odd", "bucket", "keys", "members"]
+    seen = materialise(rows.mapInArrow(describe, "key long, class long, check long, n long, even long, odd long, bucket long, keys binary, members binary"), "shingle-keys")
+    described = materialise(seen.where("bucket is null").select("key", F.when(F.col("n") > 0, F.col("class")).alias("class"), F.when(F.col("n") > 0, F.col("check")).alias("check"), "n", "even", "odd"), "shingle-classes")
+
+    def rows_of(*columns: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in columns], names=["g", "a", "b"])
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key_, member = [], []
@@ -337,19 +347,28 @@ def link(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, text: str =
             key_ += [np.frombuffer(x, np.uint64) for x in batch.column("keys").to_pylist()]
             member += [np.frombuffer(x, np.int64) for x in batch.column("members").to_pylist()]
         if key_:
-            _, _, a, b = stars(np.concatenate(key_), np.concatenate(member))
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+            yield rows_of(*stars(np.concatenate(key_), np.concatenate(member))[2:])
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for x, y in zip(batch.column("keys").to_pylist(), batch.column("members").to_pylist(), strict=True):
-                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(x, np.int64)), pa.array(np.frombuffer(y, np.int64))], names=["a", "b"])
+                yield rows_of(np.frombuffer(x, np.uint64), *np.split(np.frombuffer(y, np.int64), 2))
 
+    # (key, class, least class): the keys that several sets have, with all that have them
     packed = seen.where("bucket >= 0").select("bucket", "keys", "members").repartition(buckets, "bucket").select("keys", "members")
-    shared = packed.mapInArrow(pair, "a long, b long").unionByName(seen.where("bucket = -1").select("keys", "members").mapInArrow(unpack, "a long, b long"))
+    shared = materialise(packed.mapInArrow(pair, "g long, a long, b long").unionByName(seen.where("bucket = -1").select("keys", "members").mapInArrow(unpack, "g long, a long, b long")), "shingle-shared")
+    # sets with fewer shared keys than a link needs are done; most that met by chance are
+    counts = shared.select("g", "a").distinct().groupBy("a").agg(F.count_if(F.col("g") % 2 == 0).alias("n_even"), F.count_if(F.col("g") % 2 != 0).alias("n_odd"))
+    needs = described.where("class is not null").groupBy(F.col("class").alias("a")).agg(F.max("even").alias("even"), F.max("odd").alias("odd"))
+    able = counts.join(needs, "a").select("a", (F.col("n_even") >= F.col("even")).alias("even"), (F.col("n_odd") >= F.col("odd")).alias("odd")).where("even or odd")
+    left = shared.select("g", "a").distinct().join(able, "a").where(F.when(F.col("g") % 2 == 0, F.col("even")).otherwise(F.col("odd"))).select("g", "a")
+    least = left.groupBy("g").agg(F.min("a").alias("b"), F.count("*").alias("c")).where("c > 1").select("g", "b")
+    met = materialise(left.join(least, "g"), "shingle-met")
+    drop_materialised(shared)
+    shared = met
     block = connected(shared, "a", "b").select(F.col("node").alias("class"), F.col("component").alias("block"))
     drop_materialised(seen)
-    del seen, packed, shared
+    del seen, packed
     free_shuffles(spark)
 
     # one document of each class in a block, with its text
@@ -370,8 +389,8 @@ def link(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, text: str =
     # what large blocks still have in several components
     large = chosen.where("tiles > 1")
     if not large.isEmpty():
-        parts = _join_tiles(large, parts, k, num, den)
-    drop_materialised(chosen)
+        parts = _join_tiles(large, shared, parts, k, num, den)
+    drop_materialised(chosen, shared)
     free_shuffles(spark)
 
     parts = parts.withColumnRenamed("start", "component")
@@ -381,8 +400,12 @@ def link(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, text: str =
     return described.join(known, "class", "left").select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component_id", "key").alias("component_id"))
 
 
-def _join_tiles(large: DataFrame, parts: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """Components (class, start) by ``parts`` and by the links between the tiles of large blocks."""
+def _join_tiles(large: DataFrame, shared: DataFrame, parts: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """Components (class, start) by ``parts`` and by the links between the tiles of large blocks.
+
+    What a block still has in several components is compared either as a whole or, if that is less, key by key: sets that
+    link share a key.
+    """
     ratio = math.log(den / num) if num < den else 1.0
 
     def with_links(more: DataFrame) -> DataFrame:
@@ -406,7 +429,21 @@ def _join_tiles(large: DataFrame, parts: DataFrame, k: int, num: int, den: int)
         if joined < 0.25 * heads.count():
             break
 
-    now = placed_parts()
+    now = materialise(placed_parts(), "shingle-now")
+    open_blocks = now.groupBy("block").agg(F.count("*").alias("docs"), F.min("start").alias("lo"), F.max("start").alias("hi")).where("lo <> hi")
+    grouped = shared.select("g", F.col("a").alias("class")).distinct().join(now, "class")
+    groups = grouped.groupBy("g").agg(F.min("block").alias("block"), F.count("*").alias("members"), F.sum(F.xxhash64("class") % 1_000_000_007).alias("mark"), F.min("start").alias("lo"), F.max("start").alias("hi")).where("lo <> hi")
+    groups = materialise(groups.groupBy("block", "members", "mark").agg(F.min("g").alias("g")), "shingle-groups")  # equal groups once
+    costs = open_blocks.join(groups.groupBy("block").agg(F.sum("members").alias("by_key")), "block", "left")
+    costs = materialise(costs.select("block", (F.coalesce("by_key", F.lit(0)) < F.col("docs") * F.col("docs") / TILE).alias("keyed")), "shingle-costs")
+    units = now.join(costs.where("not keyed"), "block", "left_semi").select(F.col("block").alias("unit"), "class", "start", "n")
+    units = units.unionByName(grouped.join(groups.join(costs.where("keyed"), "block", "left_semi").select("g"), "g", "left_semi").select(F.col("g").alias("unit"), "class", "start", "n"))
+    units = materialise(units.join(units.groupBy("unit").agg(F.count("*").alias("members")), "unit"), "shingle-units")
+    small = units.where(F.col("members") <= TILE).select("unit", "class", "start", F.lit(None).cast("int").alias("side"))
+    more = materialise(_block_links(small.join(texts, "class"), ["unit"], k, num, den), "shingle-links")
+    if not more.isEmpty():
+        parts = with_links(more)
+    now = units.where(F.col("members") > TILE).select(F.col("unit").alias("block"), "class", "n").join(parts, "class", "left").withColumn("start", F.coalesce("start", "class"))
     # tiles of one large component each, or of small components together; by size class
     per = now.groupBy("block", "start").agg(F.count("*").alias("members"))
     open_blocks = per.groupBy("block").agg(F.count("*").alias("parts")).where("parts > 1").select("block")
