@@ -130,9 +130,15 @@ def find(docs: DataFrame, text: str = "text", key: str = "doc_id", **options) ->
 def attach(docs: DataFrame, spans: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``docs`` with ``text_hash`` and their ``spans`` (empty where there are none). What ``docs`` has besides travels along."""
     right = spans.select(F.col("key").alias("__key"), F.col("text_hash").alias("__hash"), F.col("spans").alias("__spans"))
+    none = F.array().cast(right.schema["__spans"].dataType)
     left = docs if "text_hash" in docs.columns else docs.withColumn("text_hash", F.xxhash64(text))
+    apart = None
+    if text in docs.columns:  # most texts have nothing that any kind needs: they are not shuffled
+        may = F.coalesce(F.col(text).rlike("[0-9@]"), F.lit(False))
+        left, apart = left.where(may), left.where(~may).withColumn("spans", none)
     joined = left.join(right, F.col(key).eqNullSafe(F.col("__key")) & (F.col("text_hash") == F.col("__hash")), "left")
-    return joined.withColumn("spans", F.coalesce("__spans", F.array().cast(right.schema["__spans"].dataType))).drop("__key", "__hash", "__spans")
+    joined = joined.withColumn("spans", F.coalesce("__spans", none)).drop("__key", "__hash", "__spans")
+    return joined if apart is None else joined.unionByName(apart)
 
 
 def redact(text: Column, spans: Column) -> Column:

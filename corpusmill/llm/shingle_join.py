@@ -40,7 +40,7 @@ from corpusmill.llm.components import connected
 from corpusmill.session import drop_materialised, free_shuffles, materialise, share_code
 
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-TILE = 256
+TILE = 512
 #: Keys that a task gathers before it sends them on.
 GATHER = 800_000
 
@@ -293,6 +293,8 @@ def _block_links(grouped: DataFrame, by: list[str], k: int, num: int, den: int)
                     at, part = row[: len(by)], []
                 part.append(row[len(by) :])
         found += solve(part) if len(part) > 1 else []
+        del part
+        W.trim()
         yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], names=["a", "b"])
 
     return rows.mapInArrow(run, "a long, b long")
@@ -348,6 +350,8 @@ def link(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, text: str =
             member += [np.frombuffer(x, np.int64) for x in batch.column("members").to_pylist()]
         if key_:
             yield rows_of(*stars(np.concatenate(key_), np.concatenate(member))[2:])
+            del key_, member
+            W.trim()
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
