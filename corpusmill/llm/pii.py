@@ -6,8 +6,9 @@ instances that follow it over *all* occurrences of those two words in the corpus
 several different instances support, and scores identifier-like strings after them; strings that score high join the
 instances of the next round. Accepted strings outside the base kinds become spans of kind ``id``.
 
-Only occurrences, a small share of the text, are shuffled; texts are read where they lie. Of the patterns, at most
-``most_patterns`` can have the support that lets them be counted, whatever the corpus; only those are broadcast.
+Only occurrences, a small share of the text, and counts of word pairs are shuffled; texts are read where they lie. The
+support that lets a pattern be counted is the same at every size of the corpus, and all that have it are counted; only a
+bitmap of fixed size goes to all tasks.
 
 Positions are code points, ends exclusive. Edge cases: null and empty texts have no spans; equal rows (same key and text)
 get equal results, one row each; rows that share a key but not their text are kept apart; long runs of digits, dots or
@@ -16,12 +17,16 @@ letters are matched without recursion; an empty table gives an empty result; oth
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from corpusmill.llm.fingerprint import bitmap_column
 from corpusmill.session import materialise
 
+#: Bits of the map of word pairs, as a power of two.
+BITS = 22
 KINDS = ("email", "ip", "card", "phone")
 FOUND = "id"
 #: Possessive repeats and look-behinds only spare retries that cannot match; the matches are those of the plain patterns.
@@ -83,19 +88,25 @@ def occurrences(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
 
 
 def pattern_counts(docs: DataFrame, patterns: DataFrame, text: str = "text") -> DataFrame:
-    """Occurrences in the corpus of each two-word pattern; ``patterns`` is small and is broadcast."""
+    """Occurrences in the corpus of each two-word pattern: pattern, total. A bitmap of fixed size drops most pairs of words
+    that are no pattern; what passes is counted per task, shuffled by hash and joined, however many patterns there are."""
+    wanted = materialise(patterns.select("pattern", F.xxhash64(F.element_at(F.split("pattern", " "), 1), F.element_at(F.split("pattern", " "), 2)).alias("pair")), "pii-wanted")
+    at = F.pmod("pair", F.lit(1 << BITS)).cast("int")
+    bit = lambda at: F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(63))
+    bits = np.zeros(1 << (BITS - 6), np.int64)
+    for word, some in wanted.groupBy(F.shiftright(at, 6).alias("word")).agg(F.bit_or(bit(at))).toLocalIterator():
+        bits[word] = some
     words = docs.where(F.col(text).isNotNull()).select(F.split(F.lower(text), r"\s+").alias("w"))
     pairs = words.select(F.explode(F.zip_with(F.slice("w", 1, F.greatest(F.size("w") - 1, F.lit(0))), F.slice("w", 2, F.size("w")), lambda a, b: F.xxhash64(a, b))).alias("pair"))
-    wanted = patterns.select("pattern", F.xxhash64(F.element_at(F.split("pattern", " "), 1), F.element_at(F.split("pattern", " "), 2)).alias("pair"))
-    return pairs.join(F.broadcast(wanted), "pair").groupBy("pattern").agg(F.count("*").alias("total"))
+    counts = pairs.where(F.get(bitmap_column(bits), F.shiftright(at, 6)).bitwiseAND(bit(at)) != 0).groupBy("pair").agg(F.count("*").alias("total"))
+    return wanted.join(counts, "pair").select("pattern", "total")
 
 
-def discover(docs: DataFrame, found: DataFrame, text: str = "text", rounds: int = 3, least_confidence: float = 0.6, least_support: int = 5, most_patterns: int = 2_000) -> DataFrame | None:
+def discover(docs: DataFrame, found: DataFrame, text: str = "text", rounds: int = 3, least_confidence: float = 0.6, least_support: int = 5) -> DataFrame | None:
     """The values (strings outside the base kinds) that the patterns vouch for: value, score; None if there are none."""
     known = found.where(F.col("pattern").isNotNull())
     edges = materialise(known.groupBy("pattern", "value").agg(F.count("*").alias("n"), F.max((F.col("kind") != FOUND).cast("double")).alias("seed")), "pii-edges")
-    total = edges.agg(F.sum("n")).first()[0] or 0
-    supported = edges.groupBy("pattern").agg(F.count("*").alias("support"), F.sum("seed").alias("seeds")).where((F.col("support") >= max(least_support, total / most_patterns)) & (F.col("seeds") > 0))
+    supported = edges.groupBy("pattern").agg(F.count("*").alias("support"), F.sum("seed").alias("seeds")).where((F.col("support") >= least_support) & (F.col("seeds") > 0))
     supported = materialise(supported, "pii-patterns")
     if supported.isEmpty():
         return None

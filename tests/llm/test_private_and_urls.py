@@ -69,6 +69,17 @@ def test_repeated_rows_and_redaction(spark):
     assert "Python" not in docs.select(pii.redact(F.col("text"), F.array().cast("array<struct<start:long,end:long,kind:string>>")).alias("x"))._jdf.queryExecution().toString()
 
 
+def ids_found(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {s.value for r in pii.find(docs).collect() for s in r.spans if s.kind == pii.FOUND}
+
+
+def test_support_does_not_grow_with_the_corpus(spark):
+    many = [" ".join(f"plain words {i * 1000 + j:06d}" for j in range(1000)) for i in range(30)]
+    few = [f"my account number a{i}@b.com end" for i in range(8)] + [f"my account number QX-{i:06d} end" for i in range(3)]
+    assert ids_found(spark, many + few) == {f"QX-{i:06d}" for i in range(3)}
+
+
 def test_url_filter_equals_sql(spark, sf_dir):
     oracle.check(spark, sf_dir, queries.op9_url_filter, oracles.ORACLES["op9_url_filter"])
 
