@@ -4,7 +4,7 @@ Fixed rules find the base kinds (email, ip, card, phone); these are the seed ins
 are its lexical pattern. On the graph of patterns and instances, each round scores a pattern by the summed score of the
 instances that follow it over *all* occurrences of those two words in the corpus, keeps patterns of high confidence that
 several different instances support, and scores identifier-like strings after them; strings that score high join the
-instances of the next round. Accepted strings outside the base kinds become spans of kind ``id``.
+instances of the next round, and patterns that only they support are then counted too. Accepted strings outside the base kinds become spans of kind ``id``.
 
 Only occurrences, a small share of the text, and counts of word pairs are shuffled; texts are read where they lie. The
 support that lets a pattern be counted is the same at every size of the corpus, and all that have it are counted; only a
@@ -106,15 +106,18 @@ def discover(docs: DataFrame, found: DataFrame, text: str = "text", rounds: int
     """The values (strings outside the base kinds) that the patterns vouch for: value, score; None if there are none."""
     known = found.where(F.col("pattern").isNotNull())
     edges = materialise(known.groupBy("pattern", "value").agg(F.count("*").alias("n"), F.max((F.col("kind") != FOUND).cast("double")).alias("seed")), "pii-edges")
-    supported = edges.groupBy("pattern").agg(F.count("*").alias("support"), F.sum("seed").alias("seeds")).where((F.col("support") >= least_support) & (F.col("seeds") > 0))
-    supported = materialise(supported, "pii-patterns")
-    if supported.isEmpty():
-        return None
-    counted = materialise(pattern_counts(docs, supported, text), "pii-counts")
     instances = edges.where(F.col("seed") > 0).groupBy("value").agg(F.lit(1.0).alias("score"))
-    new = None
+    new = counted = asked = None
     for _ in range(rounds):
         scored = edges.join(instances, "value").groupBy("pattern").agg(F.sum(F.col("n") * F.col("score")).alias("hits"), F.count("*").alias("support")).where(F.col("support") >= least_support)
+        scored = materialise(scored, "pii-patterns")
+        fresh = scored.select("pattern") if asked is None else scored.select("pattern").join(asked, "pattern", "left_anti")
+        fresh = materialise(fresh, "pii-fresh")
+        if not fresh.isEmpty():  # those that this round's instances are the first to support
+            more = materialise(pattern_counts(docs, fresh, text), "pii-counts")
+            counted, asked = (more, fresh) if asked is None else (counted.unionByName(more), asked.unionByName(fresh))
+        if asked is None:
+            return None
         trusted = scored.join(counted, "pattern").select("pattern", F.least(F.lit(1.0), F.col("hits") / F.col("total")).alias("confidence")).where(F.col("confidence") >= least_confidence)
         new = edges.where(F.col("seed") == 0).join(trusted, "pattern").groupBy("value").agg((1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-6)))))).alias("score"))
         new = materialise(new.where(F.col("score") >= least_confidence), "pii-instances")

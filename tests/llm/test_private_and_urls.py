@@ -80,6 +80,12 @@ def test_support_does_not_grow_with_the_corpus(spark):
     assert ids_found(spark, many + few) == {f"QX-{i:06d}" for i in range(3)}
 
 
+def test_found_identifiers_bring_new_patterns(spark):
+    seeded = [f"my account number a{i}@b.com end" for i in range(40)] + [f"my account number QX-{i:06d} end" for i in range(10)]
+    hop = [f"the ticket holder QX-{i:06d} end" for i in range(10)] + [f"the ticket holder QY-{i:06d} end" for i in range(2)]
+    assert ids_found(spark, seeded + hop) == {f"QX-{i:06d}" for i in range(10)} | {f"QY-{i:06d}" for i in range(2)}
+
+
 def test_url_filter_equals_sql(spark, sf_dir):
     oracle.check(spark, sf_dir, queries.op9_url_filter, oracles.ORACLES["op9_url_filter"])
 
