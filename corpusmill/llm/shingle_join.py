@@ -430,7 +430,7 @@ def _join_tiles(large: DataFrame, shared: DataFrame, parts: DataFrame, k: int, n
         joined = more.count()
         if joined:
             parts = with_links(more)
-        if joined < 0.25 * heads.count():
+        if not joined or joined < 0.25 * heads.count():
             break
 
     now = materialise(placed_parts(), "shingle-now")

@@ -92,6 +92,14 @@ def test_shingle_join_small(spark, k):
     assert sorted(map(tuple, shingle_join.link(df, k, 60, 100).collect())) == brute_join(rows, k, 60, 100)
 
 
+def test_shingle_join_ends_when_all_is_one_component(spark, monkeypatch):
+    monkeypatch.setattr(shingle_join, "TILE", 40)
+    base = [f"w{i}" for i in range(150)]
+    rows = [(i, " ".join([*base[:i], f"x{i}", *base[i + 1 :]])) for i in range(120)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.component_id for r in shingle_join.link(df, 5, 80, 100).collect()} == {0}
+
+
 def test_shingle_join_empty(spark):
     assert shingle_join.link(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
