@@ -72,8 +72,8 @@ def word_grams(distinct: list[str], sizes: tuple[int, ...]) -> tuple[np.ndarray,
             h = (h ^ part) * np.uint64(0x100000001B3) + (h >> np.uint64(41))
             blanks += (part == 32) & (0 < k < n - 1)
         use = (owner[:m] == owner[n - 1 :]) & (blanks == 0)
-        if n > 1:
-            use &= ~((code[:m] == 32) & (code[n - 1 :] == 32) & (n == 2))
+        if n <= 2:  # blanks alone are no n-gram
+            use &= ~((code[:m] == 32) & (code[n - 1 :] == 32))
         hashes.append(h[use])
         owners.append(owner[:m][use])
     if not hashes:
@@ -132,14 +132,15 @@ def word_scores(model: Filters, distinct: list[str], portion: int = 1 << 14) ->
     return out
 
 
-def predict(docs: DataFrame, model: Filters, text: str = "text", keep: tuple[str | Column, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns plus lang_pred and score: the best corrected share over the sum of the two best, 0 to 1."""
+def predict(docs: DataFrame, model: Filters, text: str = "text", keep: tuple[str | Column, ...] = ("doc_id",), known: bool = False) -> DataFrame:
+    """``keep`` columns plus lang_pred and score: the best corrected share over the sum of the two best, 0 to 1. With
+    ``known`` also that best share itself: how much of the text's n-grams the language has."""
     spark = docs.sparkSession
     share_code(spark)
     held = spark.sparkContext.broadcast(model)
     chosen = docs.select(*keep, F.col(text).alias("__text"))
     names = chosen.columns[:-1]
-    out = W.schema(docs.select(*keep), "lang_pred string, score double")
+    out = W.schema(docs.select(*keep), "lang_pred string, score double" + ", known double" * known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = held.value
@@ -148,7 +149,7 @@ def predict(docs: DataFrame, model: Filters, text: str = "text", keep: tuple[str
             bounds, index, distinct = W.split_words(W.mapped(W.texts_of(batch, "__text"), W.SPACES))
             per = word_scores(model, distinct.to_pylist())
             total = np.stack([W.sums(per[index, j], bounds) for j in range(k + 2)], axis=1)
-            pred, score = np.full(len(total), UNKNOWN, object), np.zeros(len(total))
+            pred, score, held_share = np.full(len(total), UNKNOWN, object), np.zeros(len(total)), np.zeros(len(total))
             if k:
                 share = np.clip((total[:, :k] - model.rates * total[:, k : k + 1]) / (1 - np.minimum(model.rates, 0.999)) / np.maximum(total[:, k : k + 1], 1), 0, 1)
                 best = share.argmax(axis=1)
@@ -156,7 +157,9 @@ def predict(docs: DataFrame, model: Filters, text: str = "text", keep: tuple[str
                 second = np.partition(share, -2, axis=1)[:, -2] if k > 1 else np.zeros(len(share))
                 some = (total[:, k + 1] > 0) & (total[:, k] > 0)
                 pred[some] = np.array(model.languages, object)[best[some]]
+                held_share[some] = top[some]
                 score[some] = np.where(top[some] > 0, top[some] / np.maximum(top[some] + second[some], 1e-12), 0)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(pred, pa.string()), pa.array(score)], names=[*names, "lang_pred", "score"])
+            made = [pa.array(pred, pa.string()), pa.array(score), pa.array(held_share)][: 2 + known]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), *made], names=[*names, "lang_pred", "score", "known"][: len(names) + 2 + known])
 
     return chosen.mapInArrow(run, out)

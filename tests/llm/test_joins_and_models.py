@@ -240,6 +240,17 @@ def test_pipeline(spark, sf_dir):
     assert pipeline.run(spark, sf_dir).agg({"length": "sum"}).first()[0] > 0
 
 
+def test_language_stage_rejects_what_no_language_knows(spark, sf_dir):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rng = random.Random(4)
+    noise = " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 10))) for _ in range(200))
+    odd = ["Это простой текст на русском языке", "日本語の文章です 中文文章", noise, "12 !!", None]
+    more = spark.createDataFrame([(-1 - i, t, "en", "s", 1) for i, t in enumerate(odd)], docs.schema)
+    kept = pipeline.language_stage(spark, docs.unionByName(more), sf_dir).select("doc_id").collect()
+    assert min(r.doc_id for r in kept) >= 0 and len(kept) == docs.count()
+
+
 @pytest.mark.parametrize("name", ["op7_shingle_join", "op8_near_vectors"])
 def test_equals_sql(spark, sf_dir, name):
     import oracle
