@@ -36,11 +36,15 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (five words, 0.8) stays: that of the smallest id. Repeated rows of it
-    are one document."""
-    joined = shingle_join.link(docs, k=5, num=80, den=100)
-    kept = joined.where(F.col("component_id") == F.col("doc_id")).select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*COLUMNS[1:])).alias("row")).select("doc_id", *(f"row.{c}" for c in COLUMNS[1:]))
+    """One document of each group of near-duplicates (five words, 0.8) stays: that of the smallest id. A document is an id
+    with a text: rows that have both in common are one, those with an id in common only if their texts link. Rows without
+    an id are told apart by their text, and stay only where no linked document has an id."""
+    mark = F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text")
+    docs = docs.withColumn("mark", mark)
+    joined = shingle_join.link(docs, key="mark", k=5, num=80, den=100).select("mark", "component_id").distinct()
+    ranked = joined.join(docs.select("mark", "doc_id").distinct(), "mark").withColumn("rank", F.struct(F.col("doc_id").isNull(), "doc_id", "mark"))
+    kept = ranked.groupBy("component_id").agg(F.min("rank").getField("mark").alias("mark")).select("mark")
+    return docs.join(kept, "mark", "left_semi").groupBy("mark").agg(F.min(F.struct(*COLUMNS)).alias("row")).select(*(F.col(f"row.{c}").alias(c) for c in COLUMNS))
 
 
 def private_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

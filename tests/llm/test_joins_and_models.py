@@ -251,6 +251,15 @@ def test_language_stage_rejects_what_no_language_knows(spark, sf_dir):
     assert min(r.doc_id for r in kept) >= 0 and len(kept) == docs.count()
 
 
+def test_duplicate_stage_keeps_rows_that_share_an_id_or_have_none(spark):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    one, two = "a b c d e f g h", "q r s t u v w x"
+    rows = [(None, "only here and without an id"), (None, None), (7, None), (7, one), (7, two), (9, one), (9, one), (None, two), (8, "words of an own kind here")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = Counter((r.doc_id, r.text) for r in pipeline.duplicate_stage(spark, docs, "").collect())
+    assert got == Counter([(None, rows[0][1]), (None, None), (7, None), (7, one), (7, two), (8, rows[8][1])])
+
+
 @pytest.mark.parametrize("name", ["op7_shingle_join", "op8_near_vectors"])
 def test_equals_sql(spark, sf_dir, name):
     import oracle
