@@ -7,8 +7,12 @@ needs padding; ``bucket`` (log2 of the length) groups the sequences of equal len
 Sequence ids are the task's partition number and a counter in it: unique for repeated rows too, and the same when a lost
 task runs again, since partitions are read in a fixed order. No shuffle is needed.
 
+Ids are those of the tokenizer's plain ``encode`` without added special tokens: the string of a special token in a text is
+that token, as there.
+
 Edge cases: a null or empty text is the end id alone, one piece of length 1; very long texts give as many longest pieces
-as they need; an empty table gives no pieces; other columns are carried only if named in ``keep``.
+as they need; rows with a null or repeated key are packed row by row, equal texts into equal pieces; an empty table gives no
+pieces; other columns are carried only if named in ``keep``, and one that is named like an output is refused.
 """
 
 from __future__ import annotations
@@ -35,30 +39,33 @@ class WordTokenizer:
     """A tokenizer whose model drops white space, so that texts can be cut there and equal words encoded once.
 
     ASCII capitals are lowered before words are compared, which the tokenizer does anyway. Ids of the words seen last are
-    kept, one after another, in one array.
+    kept, one after another, in one array, as long as the words have at most ``held`` bytes of text. Texts with the string
+    of a special token are encoded whole.
     """
 
-    def __init__(self, path: str, held: int = 800_000):
+    def __init__(self, path: str, held: int = 5 << 20):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.special = sorted({t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values() if t.content})
         self.most = held
         self._forget()
 
     def _forget(self) -> None:
         self.place: dict[str, int] = {}
+        self.bytes = 0
         self.flat, self.end = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
     def _places(self, words: pa.Array) -> np.ndarray:
         """Where each of the distinct words' ids are kept."""
         names = words.to_pylist()
-        if len(self.place) + len(names) > self.most:
+        if self.bytes > self.most:
             self._forget()
         place, encode = self.place, self.tokenizer.encode
         new = [w for w in names if w not in place]
         if new:
             ids = [encode(w, add_special_tokens=False).ids for w in new]
+            self.bytes += sum(map(len, new))
             place.update(zip(new, range(len(place), len(place) + len(new)), strict=True))
             length = np.fromiter(map(len, ids), np.int64, len(ids))
             self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.uint32, int(length.sum()))])
@@ -67,7 +74,21 @@ class WordTokenizer:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, bounds) of whole texts."""
-        bounds, index, distinct = W.split_words(W.mapped(texts, W.SPACES_LOWER))
+        lowered = W.mapped(texts, W.SPACES_LOWER)
+        odd = np.zeros(len(texts), bool)
+        for token in self.special:
+            odd |= pc.match_substring(lowered, token).to_numpy(zero_copy_only=False)
+        if not odd.any():
+            return self._encode(lowered)
+        ids, bounds = self._encode(pc.if_else(pa.array(odd), pa.scalar("", pa.large_string()), lowered))
+        own = [self.tokenizer.encode(t, add_special_tokens=False).ids for t in texts.filter(pa.array(odd)).to_pylist()]
+        more = np.zeros(len(texts), np.int64)
+        more[odd] = list(map(len, own))
+        ids = np.insert(ids, np.repeat(bounds[:-1][odd], more[odd]), np.fromiter(chain.from_iterable(own), np.uint32, int(more.sum())))
+        return ids, bounds + np.concatenate([[0], np.cumsum(more)])
+
+    def _encode(self, lowered: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        bounds, index, distinct = W.split_words(lowered)
         parts = pc.extract_regex(distinct, _PLAIN)
         heads = pc.coalesce(pc.struct_field(parts, "head"), distinct).dictionary_encode()
         tails = pc.fill_null(pc.struct_field(parts, "tail"), "").dictionary_encode()
@@ -106,7 +127,7 @@ def pack(docs: DataFrame, path: str, longest: int = 2048, end_id: int = 1, text:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, next_id = tokenizer(path), TaskContext.get().partitionId() << 40
-        for batch in W.slices(batches, "__text", 8 << 20):
+        for batch in W.slices(batches, "__text", 1 << 20):
             ids, bounds = own.encode(W.texts_of(batch, "__text"))
             n = np.diff(bounds) + 1
             ends = np.cumsum(n)

@@ -95,5 +95,9 @@ def sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def schema(frame: DataFrame, ddl: str) -> T.StructType:
-    """The columns of ``frame``, then those of the DDL text."""
-    return T.StructType([*frame.schema.fields, *T.StructType.fromDDL(ddl).fields])
+    """The columns of ``frame``, then those of the DDL text. A kept column that is named like an output is refused."""
+    made = T.StructType.fromDDL(ddl).fields
+    clash = sorted({f.name.lower() for f in made} & {c.lower() for c in frame.columns})
+    if clash:
+        raise ValueError(f"kept columns are named like outputs: {clash}")
+    return T.StructType([*frame.schema.fields, *made])

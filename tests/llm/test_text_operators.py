@@ -14,7 +14,7 @@ P = pytest.importorskip("public_tokenizers")
 from corpusmill.llm import bpe, packing, queries, token_counts  # noqa: E402
 
 ALPHABET = list(" \n\tabcXYZ'sdtl.,!?0123éÀ​ \x85\x1c#日🤗İẞ̈")
-ODD = [None, "", " ", "\n", "a\n", "\n\nb", "<|endoftext|> x", "İstanbul ẞ", "a" * 5000, "日本\n🤗🤗🤗 x", "don't we'll  x", "a  b   c \n d", "word!!! word%%% | x"]
+ODD = [None, "", " ", "\n", "a\n", "\n\nb", "<|endoftext|> x", "a<|endoftext|>B<|EndOfText|> c <|startoftext|>", "İstanbul ẞ", "a" * 5000, "日本\n🤗🤗🤗 x", "don't we'll  x", "a  b   c \n d", "word!!! word%%% | x"]
 
 
 @pytest.fixture(scope="module")
@@ -35,7 +35,6 @@ def test_packing(spark, texts, folder):
     from tokenizers import Tokenizer
 
     reference = Tokenizer.from_file(P.path("word_bpe_49k.json"))
-    reference.encode_special_tokens = True
     rows = queries.op1_packing(spark, folder).collect()
     assert len({r.sequence_id for r in rows}) == len(rows)
     by = {}
