@@ -1,29 +1,40 @@
 """Personal data by bootstrapped contextual extraction, in DataFrame operations only.
 
-Fixed rules find the base kinds (email, ip, card, phone); these are the seed instances. The two words before an occurrence
-are its lexical pattern. On the graph of patterns and instances, each round scores a pattern by the summed score of the
-instances that follow it over *all* occurrences of those two words in the corpus, keeps patterns of high confidence that
-several different instances support, and scores identifier-like strings after them; strings that score high join the
-instances of the next round, and patterns that only they support are then counted too. Accepted strings outside the base kinds become spans of kind ``id``.
-
-Only occurrences, a small share of the text, and counts of word pairs are shuffled; texts are read where they lie. The
+Seeds are the matches of fixed rules for the base kinds (email, ip, card, phone), and identifiers whose own form shows a
+secret (``SECRET_LEAST`` characters and more, in which letters and digits take turns ``SECRET_TURNS`` times and more). The
+two tokens before an occurrence are its lexical pattern. On the graph of patterns and instances, each round scores a pattern
+by the summed score of the instances that follow it over *all* occurrences of its two tokens in the corpus, keeps patterns
+of high confidence that several different instances support, and scores identifiers after them; identifiers that score high
+join the instances of the next round, and patterns that they are the first to support are then counted too. Identifiers that
+the last round's trusted patterns vouch for become spans of kind ``id``, wherever they occur; a seed that no trusted pattern
+vouches for does not.
+
+Tokens are cut at white space, quotes and brackets, and around ``=`` and ``:``; letter case does not count. So ``token = "X``,
+``Token="X`` and ``token = X`` have the same pattern before X. A pattern's tokens lie within the ``CONTEXT`` characters before an
+occurrence, whatever those hold, other occurrences too. An identifier is a whole run of ASCII letters, digits, ``_`` and ``-``
+of five characters or more with a digit in it, that starts and ends with a letter or digit, and lies in no base match.
+
+Only occurrences, a small share of the text, and counts of token pairs are shuffled; texts are read where they lie. The
 support that lets a pattern be counted is the same at every size of the corpus, and all that have it are counted; only a
 bitmap of fixed size goes to all tasks.
 
 Positions are code points, ends exclusive. Edge cases: null and empty texts have no spans; equal rows (same key and text)
 get equal results, one row each; rows that share a key but not their text are kept apart; long runs of digits, dots or
-letters are matched without recursion; an empty table gives an empty result; other columns are ignored unless kept.
+letters are matched without recursion; an empty table gives an empty result; other columns are ignored, and travel along in
+``attach``, which refuses a column named ``spans``.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from corpusmill.llm.fingerprint import bitmap_column
-from corpusmill.session import materialise
+from corpusmill.session import drop_materialised, materialise
 
 #: Bits of the map of word pairs, as a power of two.
 BITS = 22
@@ -35,11 +46,15 @@ PATTERNS = {
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    FOUND: r"(?<![A-Za-z0-9_-])(?=[A-Za-z_-]{0,63}[0-9])[A-Za-z0-9][A-Za-z0-9_-]{3,62}[A-Za-z0-9](?![A-Za-z0-9_-])",
+    FOUND: r"(?<![A-Za-z0-9_-])(?=[A-Za-z0-9_-]{5})(?=[A-Za-z_-]*+[0-9])[A-Za-z0-9][A-Za-z0-9_-]*+(?<=[A-Za-z0-9])",
 }
 #: What a text must have for a kind's pattern to be tried.
 NEEDS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]", FOUND: "[0-9]"}
-TAIL = 120
+#: Where tokens are cut.
+CUT = r"[\s\"'`()\[\]{}<>]+|(?<=[=:])|(?<=[^\s\"'`()\[\]{}<>=:])(?=[=:])"
+#: Characters before an occurrence that its pattern may lie in; no match has less than five, so so many neighbours reach.
+CONTEXT, NEIGHBOURS = 200, 40
+SECRET_LEAST, SECRET_TURNS = 20, 6
 
 
 def luhn(digits: Column) -> Column:
@@ -61,19 +76,53 @@ def valid(kind: Column, match: Column) -> Column:
     )
 
 
+def secret(value: Column) -> Column:
+    """Whether a string's own form shows a secret."""
+    turns = F.size(F.split(F.regexp_replace(value, "[_-]", ""), "(?<=[A-Za-z])(?=[0-9])|(?<=[0-9])(?=[A-Za-z])", -1)) - 1
+    return (F.length(value) >= SECRET_LEAST) & (turns >= SECRET_TURNS)
+
+
+def tokens(text: Column) -> Column:
+    return F.split(F.lower(text), CUT, -1)
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.transform(F.array(value), lambda x: body(x))[0]
+
+
+def pattern_of(context: Column) -> Column:
+    """The last two tokens of what precedes an occurrence; null if it goes on with the last one, or they may be cut off."""
+
+    def two(t: Column, whole: Column) -> Column:
+        first, second, rest = F.element_at(t, -3), F.element_at(t, -2), F.element_at(t, -1)
+        return F.when(whole, F.when((rest == "") & (first != "") & (second != ""), F.concat_ws(" ", first, second)))
+
+    return _let(context, lambda c: _let(tokens(c), lambda t: two(t, F.size(t) >= F.when(F.length(c) < CONTEXT, 3).otherwise(4))))
+
+
 def _matches(text: Column, kind: str) -> Column:
-    """The kind's matches in order: kind, pos, gap (characters since the match before), match, tail (text before it)."""
-    found = F.regexp_extract_all(text, F.lit(PATTERNS[kind]), F.lit(0))
-    pieces = F.split(text, PATTERNS[kind], -1)
-    rows = F.transform(found, lambda m, i: F.struct(F.lit(kind).alias("kind"), i.alias("pos"), m.alias("match"), F.get(pieces, i).alias("gap")))
-    rows = F.transform(rows, lambda r: F.struct(r["kind"].alias("kind"), r["pos"].alias("pos"), F.length(r["gap"]).alias("gap"), r["match"].alias("match"), F.right(r["gap"], F.lit(TAIL)).alias("tail")))
-    return F.when(text.rlike(NEEDS[kind]), rows).otherwise(F.array().cast("array<struct<kind:string,pos:int,gap:int,match:string,tail:string>>"))
+    """The kind's matches in order: kind, pos, gap (characters since the match before), match, pattern."""
+    both = F.struct(F.regexp_extract_all(text, F.lit(PATTERNS[kind]), F.lit(0)).alias("found"), F.split(text, PATTERNS[kind], -1).alias("pieces"))
+
+    def context(found: Column, pieces: Column, i: Column, gap: Column) -> Column:
+        first = F.greatest(i - NEIGHBOURS, F.lit(0))
+        before = F.zip_with(F.slice(pieces, first + 1, i - first), F.slice(found, first + 1, i - first), lambda p, m: F.concat(F.right(p, F.lit(CONTEXT)), m))
+        return F.right(F.when((i == 0) | (F.length(gap) >= CONTEXT), gap).otherwise(F.concat(F.array_join(before, ""), gap)), F.lit(CONTEXT))
+
+    def row(found: Column, pieces: Column, m: Column, i: Column) -> Column:
+        made = lambda gap: F.struct(F.lit(kind).alias("kind"), i.alias("pos"), F.length(gap).alias("gap"), m.alias("match"), pattern_of(context(found, pieces, i, gap)).alias("pattern"))
+        return _let(F.get(pieces, i), made)
+
+    rows = _let(both, lambda x: F.transform(x["found"], lambda m, i: row(x["found"], x["pieces"], m, i)))
+    return F.when(text.rlike(NEEDS[kind]), rows).otherwise(F.array().cast("array<struct<kind:string,pos:int,gap:int,match:string,pattern:string>>"))
 
 
 def occurrences(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """All valid base matches and identifier-like strings outside them: key, text_hash, kind, start, end, value, pattern."""
+    """All valid base matches and identifier-like strings outside them: key, text_hash, kind, start, end, value, pattern,
+    copies (how many rows are the same)."""
     rows = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("text_hash"), F.explode(F.concat(*(_matches(F.col(text), k) for k in PATTERNS))).alias("m")).select("key", "text_hash", "m.*")
-    rows = rows.dropDuplicates(["key", "text_hash", "kind", "pos"])
+    rows = rows.groupBy("key", "text_hash", "kind", "pos").agg(*(F.first(c).alias(c) for c in ("gap", "match", "pattern")), F.count("*").alias("copies"))
     order = Window.partitionBy("key", "text_hash", "kind").orderBy("pos")
     end = F.sum(F.col("gap").cast("long") + F.length("match")).over(order)
     rows = rows.withColumn("end", end).withColumn("start", F.col("end") - F.length("match")).where(valid(F.col("kind"), F.col("match")))
@@ -82,51 +131,56 @@ def occurrences(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
     before = F.max(F.when(base, F.col("end"))).over(near.rowsBetween(Window.unboundedPreceding, -1))
     after = F.min(F.when(base, F.col("start"))).over(Window.partitionBy("key", "text_hash").orderBy(F.desc("start"), F.desc("end"), F.desc("kind")).rowsBetween(Window.unboundedPreceding, -1))
     rows = rows.withColumns({"before": before, "after": after}).where(base | ((F.coalesce("before", F.lit(-1)) <= F.col("start")) & (F.coalesce("after", F.col("end")) >= F.col("end"))))
-    words = F.split(F.lower(F.trim(F.regexp_replace("tail", r"\s+", " "))), " ")
-    pattern = F.when(F.col("tail").rlike(r"\s[\"'(]?$") & (F.size(words) >= 2), F.concat_ws(" ", F.element_at(words, -2), F.regexp_replace(F.element_at(words, -1), r"^[\"'(]$", "")))
-    return rows.select("key", "text_hash", "kind", "start", "end", F.col("match").alias("value"), pattern.alias("pattern"))
+    return rows.select("key", "text_hash", "kind", "start", "end", F.col("match").alias("value"), "pattern", "copies")
 
 
 def pattern_counts(docs: DataFrame, patterns: DataFrame, text: str = "text") -> DataFrame:
-    """Occurrences in the corpus of each two-word pattern: pattern, total. A bitmap of fixed size drops most pairs of words
-    that are no pattern; what passes is counted per task, shuffled by hash and joined, however many patterns there are."""
+    """Occurrences in the corpus of each pattern's two tokens: pattern, total. A bitmap of fixed size drops most pairs that
+    are no pattern before they become rows; what passes is counted per task, shuffled by hash and joined, however many
+    patterns there are."""
     wanted = materialise(patterns.select("pattern", F.xxhash64(F.element_at(F.split("pattern", " "), 1), F.element_at(F.split("pattern", " "), 2)).alias("pair")), "pii-wanted")
     at = F.pmod("pair", F.lit(1 << BITS)).cast("int")
     bit = lambda at: F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(63))
     bits = np.zeros(1 << (BITS - 6), np.int64)
     for word, some in wanted.groupBy(F.shiftright(at, 6).alias("word")).agg(F.bit_or(bit(at))).toLocalIterator():
         bits[word] = some
-    words = docs.where(F.col(text).isNotNull()).select(F.split(F.lower(text), r"\s+").alias("w"))
-    pairs = words.select(F.explode(F.zip_with(F.slice("w", 1, F.greatest(F.size("w") - 1, F.lit(0))), F.slice("w", 2, F.size("w")), lambda a, b: F.xxhash64(a, b))).alias("pair"))
-    counts = pairs.where(F.get(bitmap_column(bits), F.shiftright(at, 6)).bitwiseAND(bit(at)) != 0).groupBy("pair").agg(F.count("*").alias("total"))
+    held = lambda pair: F.get(bitmap_column(bits), F.shiftright(F.pmod(pair, F.lit(1 << BITS)).cast("int"), 6)).bitwiseAND(bit(F.pmod(pair, F.lit(1 << BITS)).cast("int"))) != 0
+    cut = docs.where(F.col(text).isNotNull()).select(tokens(F.col(text)).alias("w"))
+    pairs = F.zip_with(F.slice("w", 1, F.greatest(F.size("w") - 1, F.lit(0))), F.slice("w", 2, F.size("w")), lambda a, b: F.xxhash64(a, b))
+    counts = cut.select(F.explode(F.filter(pairs, held)).alias("pair")).groupBy("pair").agg(F.count("*").alias("total"))
     return wanted.join(counts, "pair").select("pattern", "total")
 
 
 def discover(docs: DataFrame, found: DataFrame, text: str = "text", rounds: int = 3, least_confidence: float = 0.6, least_support: int = 5) -> DataFrame | None:
     """The values (strings outside the base kinds) that the patterns vouch for: value, score; None if there are none."""
     known = found.where(F.col("pattern").isNotNull())
-    edges = materialise(known.groupBy("pattern", "value").agg(F.count("*").alias("n"), F.max((F.col("kind") != FOUND).cast("double")).alias("seed")), "pii-edges")
-    instances = edges.where(F.col("seed") > 0).groupBy("value").agg(F.lit(1.0).alias("score"))
-    new = counted = asked = None
+    edges = known.groupBy("pattern", "value").agg(F.sum("copies").alias("n"), F.max(F.col("kind") != FOUND).alias("base"))
+    edges = materialise(edges.withColumn("seed", F.col("base") | secret(F.col("value"))), "pii-edges")
+    seeds = edges.where("seed").groupBy("value").agg(F.lit(1.0).alias("score"))
+    instances, made = seeds, [edges]
+    accepted = counted = asked = None
+
+    def kept(frame: DataFrame, label: str) -> DataFrame:
+        made.append(materialise(frame, f"pii-{label}"))
+        return made[-1]
+
     for _ in range(rounds):
-        scored = edges.join(instances, "value").groupBy("pattern").agg(F.sum(F.col("n") * F.col("score")).alias("hits"), F.count("*").alias("support")).where(F.col("support") >= least_support)
-        scored = materialise(scored, "pii-patterns")
-        fresh = scored.select("pattern") if asked is None else scored.select("pattern").join(asked, "pattern", "left_anti")
-        fresh = materialise(fresh, "pii-fresh")
+        scored = kept(edges.join(instances, "value").groupBy("pattern").agg(F.sum(F.col("n") * F.col("score")).alias("hits"), F.count("*").alias("support")).where(F.col("support") >= least_support), "patterns")
+        fresh = kept(scored.select("pattern") if asked is None else scored.select("pattern").join(asked, "pattern", "left_anti"), "fresh")
         if not fresh.isEmpty():  # those that this round's instances are the first to support
-            more = materialise(pattern_counts(docs, fresh, text), "pii-counts")
+            more = kept(pattern_counts(docs, fresh, text), "counts")
             counted, asked = (more, fresh) if asked is None else (counted.unionByName(more), asked.unionByName(fresh))
         if asked is None:
-            return None
-        trusted = scored.join(counted, "pattern").select("pattern", F.least(F.lit(1.0), F.col("hits") / F.col("total")).alias("confidence")).where(F.col("confidence") >= least_confidence)
-        new = edges.where(F.col("seed") == 0).join(trusted, "pattern").groupBy("value").agg((1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-6)))))).alias("score"))
-        new = materialise(new.where(F.col("score") >= least_confidence), "pii-instances")
-        if new.isEmpty():
-            return None
-        instances = materialise(edges.where(F.col("seed") > 0).select("value", F.lit(1.0).alias("score")).unionByName(new).groupBy("value").agg(F.max("score").alias("score")), "pii-instances")
-        patterns = trusted
-    accepted = edges.where(F.col("seed") == 0).join(patterns, "pattern").select("value").distinct()
-    return new.join(accepted, "value", "left_semi")
+            break
+        trusted = kept(scored.join(counted, "pattern").select("pattern", F.least(F.lit(1.0), F.col("hits") / F.col("total")).alias("confidence")).where(F.col("confidence") >= least_confidence), "trusted")
+        new = edges.where("not base").join(trusted, "pattern").groupBy("value").agg((1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-6)))))).alias("score"))
+        accepted = kept(new.where(F.col("score") >= least_confidence), "instances")
+        if accepted.isEmpty():
+            break
+        instances = kept(seeds.unionByName(accepted).groupBy("value").agg(F.max("score").alias("score")), "instances")
+    out = None if accepted is None or accepted.isEmpty() else accepted
+    drop_materialised(*(frame for frame in made if frame is not out))
+    return out
 
 
 def find(docs: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
@@ -138,11 +192,15 @@ def find(docs: DataFrame, text: str = "text", key: str = "doc_id", **options) ->
     if new is not None:
         spans = spans.unionByName(found.where(F.col("kind") == FOUND).join(new.select("value"), "value", "left_semi").select(*found.columns))
     rank = F.array_position(F.array(*map(F.lit, (*KINDS, FOUND))), F.col("kind")).cast("int")
-    return spans.groupBy("key", "text_hash").agg(F.sort_array(F.collect_list(F.struct(rank.alias("rank"), "start", "end", "kind", "value"))).alias("spans"))
+    out = materialise(spans.groupBy("key", "text_hash").agg(F.sort_array(F.collect_list(F.struct(rank.alias("rank"), "start", "end", "kind", "value"))).alias("spans")), "pii-spans")
+    drop_materialised(found, *([] if new is None else [new]))
+    return out
 
 
 def attach(docs: DataFrame, spans: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``docs`` with ``text_hash`` and their ``spans`` (empty where there are none). What ``docs`` has besides travels along."""
+    if "spans" in docs.columns:
+        raise ValueError("there is a column spans already")
     right = spans.select(F.col("key").alias("__key"), F.col("text_hash").alias("__hash"), F.col("spans").alias("__spans"))
     none = F.array().cast(right.schema["__spans"].dataType)
     left = docs if "text_hash" in docs.columns else docs.withColumn("text_hash", F.xxhash64(text))

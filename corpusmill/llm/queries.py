@@ -47,7 +47,7 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.attach(docs.select("doc_id", F.xxhash64("text").alias("text_hash")), pii.find(docs))
     text = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
-    return found.select("doc_id", *map(count, pii.KINDS), F.sha2(text(F.filter("spans", lambda s: s["kind"] != pii.FOUND)), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"))
+    return found.select("doc_id", *map(count, (*pii.KINDS, pii.FOUND)), F.size("spans").cast("long").alias("n_spans"), F.sha2(text(F.filter("spans", lambda s: s["kind"] != pii.FOUND)), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"))
 
 
 def op4_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,6 +33,47 @@ def base_spans(text):
     return out
 
 
+def brute_ids(texts, rounds=3, least=0.6, support=5):
+    """(values that patterns vouch for, id spans of each text): the bootstrapping in plain Python."""
+    cut = re.compile(r"[\s\"'`()\[\]{}<>]+|(?<=[=:])|(?<=[^\s\"'`()\[\]{}<>=:])(?=[=:])", re.ASCII)
+    edges, base_values, totals, spans = Counter(), set(), Counter(), []
+    for text in texts:
+        text = text or ""
+        base = base_spans(text)
+        runs = [m for m in re.finditer(r"[A-Za-z0-9_-]+", text) if len(m.group()) >= 5 and re.search("[0-9]", m.group()) and m.group()[0] not in "_-" and m.group()[-1] not in "_-"]
+        ids = [(m.start(), m.end()) for m in runs if not any(a < m.end() and m.start() < z for _, a, z in base)]
+        spans.append([(text[a:z], a, z) for a, z in ids])
+        base_values |= {text[a:z] for _, a, z in base}
+        for a, z in [(a, z) for _, a, z in base] + ids:
+            before = text[max(0, a - 200) : a]
+            t = cut.split(before.lower())
+            if len(t) >= (3 if len(before) < 200 else 4) and t[-1] == "" and t[-2] and t[-3]:
+                edges[(t[-3], t[-2]), text[a:z]] += 1
+        t = cut.split(text.lower())
+        totals.update(zip(t, t[1:]))
+
+    def secret(v):
+        v = re.sub("[_-]", "", v) if len(v) >= 20 else ""
+        return sum(x.isdigit() != y.isdigit() for x, y in zip(v, v[1:])) >= 6
+
+    seeds = {v: 1.0 for _, v in edges if v in base_values or secret(v)}
+    instances, accepted = seeds, {}
+    for _ in range(rounds):
+        hits, seen = Counter(), Counter()
+        for (p, v), n in edges.items():
+            if v in instances:
+                hits[p] += n * instances[v]
+                seen[p] += 1
+        trusted = {p: min(1.0, hits[p] / totals[p]) for p in seen if seen[p] >= support and hits[p] / totals[p] >= least}
+        doubt = {}
+        for p, v in edges:
+            if v not in base_values and p in trusted:
+                doubt[v] = doubt.get(v, 1.0) * max(1 - trusted[p], 1e-6)
+        accepted = {v: 1 - d for v, d in doubt.items() if 1 - d >= least}
+        instances = seeds | {v: max(x, seeds.get(v, 0)) for v, x in accepted.items()}
+    return set(accepted), [[(a, z) for v, a, z in s if v in accepted] for s in spans]
+
+
 @pytest.fixture(scope="module")
 def texts(spark, sf_dir):
     rng = random.Random(3)
@@ -41,6 +82,8 @@ def texts(spark, sf_dir):
     made = ["".join(rng.choices(alphabet, k=rng.randint(0, 50))) for _ in range(1500)]
     seeds = [f"filler {i} my account number {rng.choice([f'a{i}@b.com', f'10.0.0.{i % 250}', f'+1 555 010 {i:04d}'])} end" for i in range(60)]
     new = [f"and my account number QX-{i:06d} end" for i in range(10)] + ["some order QZ-000001 is clean"]
+    new += [f'x token = "{hashlib.sha1(b"%d" % i).hexdigest()}" y' for i in range(6)] + ['a TOKEN="shorter9" b', "a token = [another-1x", "see 10.0.0.1, my account number 10.0.0.2, QX-000003,my account number QY-000001"]
+    new += ["w " * 150 + "my account number QY-000002", "my " + "account" * 40 + " number QZ-000002", "my account number" + " " * 250 + "QZ-000003"]
     return odd + made + seeds + new + [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").collect()]
 
 
@@ -48,17 +91,33 @@ def test_personal_data(spark, texts, tmp_path):
     spark.createDataFrame([(i, t, "k") for i, t in enumerate(texts)], "doc_id long, text string, key string").repartition(5).write.parquet(f"{tmp_path}/documents.parquet")
     rows = {r.doc_id: r for r in queries.op3_pii(spark, str(tmp_path)).collect()}
     assert len(rows) == len(texts)
-    found = Counter()
+    accepted, ids = brute_ids(texts)
+    assert {f"QX-{i:06d}" for i in range(10)} | {"shorter9", "another-1x", "QY-000001", "QY-000002"} <= accepted and not {"QZ-000001", "QZ-000002"} & accepted
     for i, text in enumerate(texts):
         spans = base_spans(text or "")
         joined, count = ",".join(f"{k}:{a}:{z}" for k, a, z in spans), Counter(k for k, _, _ in spans)
         r = rows[i]
         assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(count[k] for k in BASE)
         assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest() and r.spans.startswith(joined)
-        for x in r.spans.split(","):
-            if x.startswith("id:"):
-                found[text[int(x.split(":")[1]) : int(x.split(":")[2])]] += 1
-    assert found == {f"QX-{i:06d}": 1 for i in range(10)}
+        assert r.spans == ",".join([*filter(None, [joined]), *(f"id:{a}:{z}" for a, z in ids[i])])
+        assert (r.n_id, r.n_spans) == (len(ids[i]), len(ids[i]) + len(spans))
+
+
+def test_secrets_of_the_tables(spark):
+    found = {r.doc_id: r for r in queries.op3_pii(spark, "/root/testdata/sf0.01").collect()}
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()
+    secrets = {r.doc_id for r in docs if re.search(r'(?i)token = "[0-9a-f]{40}"', r.text or "")}
+    assert len(secrets) > 5 and {i for i, r in found.items() if r.n_id} == secrets
+
+
+def test_personal_data_of_an_empty_table_and_clashing_names(spark, tmp_path):
+    spark.createDataFrame([], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert queries.op3_pii(spark, str(tmp_path)).collect() == []
+    docs = spark.createDataFrame([(1, "a@b.cd", "x", "y", 3)], "doc_id long, text string, spans string, kind string, start int")
+    with pytest.raises(ValueError, match="spans"):
+        pii.attach(docs, pii.find(docs))
+    kept = pii.attach(docs.drop("spans"), pii.find(docs)).first()
+    assert (kept.kind, kept.start, len(kept.spans)) == ("y", 3, 1)
 
 
 def test_repeated_rows_and_redaction(spark):
