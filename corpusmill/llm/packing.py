@@ -62,7 +62,7 @@ class WordTokenizer:
         if self.bytes > self.most:
             self._forget()
         place, encode = self.place, self.tokenizer.encode
-        new = [w for w in names if w not in place]
+        new = [w for w in dict.fromkeys(names) if w not in place]  # a word may be both a head and a tail
         if new:
             ids = [encode(w, add_special_tokens=False).ids for w in new]
             self.bytes += sum(map(len, new))

@@ -51,6 +51,20 @@ def test_packing(spark, texts, folder):
         assert at == len(ids)
 
 
+@pytest.mark.parametrize("held", [100, 1 << 20])
+def test_remembered_words(held):
+    """Many small slices through one tokenizer, whose memory is emptied now and then or never."""
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    own, reference, rng = packing.WordTokenizer(P.path("word_bpe_49k.json"), held), Tokenizer.from_file(P.path("word_bpe_49k.json")), random.Random(1)
+    for _ in range(400):
+        texts = [" ".join("".join(rng.choices("ab.,!", k=rng.randint(1, 3))) for _ in range(rng.randint(0, 5))) for _ in range(3)]
+        ids, bounds = own.encode(pa.array(texts, pa.large_string()))
+        for i, text in enumerate(texts):
+            assert ids[bounds[i] : bounds[i + 1]].tolist() == reference.encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("n", [1, 2, 2047, 2048, 2049, 5000, 8192])
 def test_decompose(n):
     parts = packing.decompose(n, 2048)
@@ -125,6 +139,42 @@ def test_token_rules(spark):
     assert sum(most) == sum(first)
 
 
+@pytest.mark.parametrize("rule", ["most", "first"])
+def test_token_counts_of_any_sections(spark, texts, rule):
+    """Sections that leave gaps, are empty, or reach beyond their text, against plain Python."""
+    from tokenizers import Tokenizer
+
+    reference = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    reference.encode_special_tokens = True
+    rng, rows = random.Random(9), [(0, "ab", [(0, 50)]), (1, "one two three four", [(0, 3)]), (2, None, [(0, 9), (9, 9), (12, 20)]), (3, "a b", None), (4, "a b", [(None, 2), (0, 1)]), (5, "a b", [(0, 3), (1, 1)])]
+    for i, text in enumerate(texts[:300]):
+        cuts = sorted(rng.choices(range(len(text or "") + 12), k=2 * rng.randint(0, 4)))
+        rows.append((10 + i, text, list(zip(cuts[::2], cuts[1::2]))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, s array<struct<start:long,end:long>>").coalesce(1)
+    got = {r.doc_id: r for r in token_counts.attribute(docs, P.path("byte_bpe_50k.tiktoken"), P.PATTERN, sections="s", rule=rule).collect()}
+    for key, text, spans in rows:
+        spans = [(0, 0) if None in x else x for x in spans or []]
+        per, outside, crossing = [0] * len(spans), 0, 0
+        encoded = reference.encode(text or "", add_special_tokens=False)
+        for a, b in encoded.offsets:
+            shared = [max(0, min(b, z) - max(a, y)) for y, z in spans]
+            some = [k for k, n in enumerate(shared) if n]
+            if some:
+                per[max(some, key=lambda k: (shared[k], -k)) if rule == "most" else some[0]] += 1
+                crossing += sum(shared) < b - a or len(some) > 1
+            else:
+                outside += 1
+        r = got[key]
+        assert (r.n_tokens, r.section_tokens, r.outside_tokens, r.crossing_tokens) == (len(encoded.ids), per, outside, crossing), (text, spans)
+
+
+def test_packing_keys_and_clashing_names(spark):
+    docs = spark.createDataFrame([(None, "a b", 7), (1, None, 8)], "doc_id long, text string, length int")
+    assert sorted((r.doc_id is None, r.length) for r in packing.pack(docs, P.path("word_bpe_49k.json")).collect()) == [(False, 1), (True, 1), (True, 2)]
+    with pytest.raises(ValueError, match="length"):
+        packing.pack(docs, P.path("word_bpe_49k.json"), keep=("doc_id", "length"))
+
+
 @pytest.mark.parametrize("name", ["op1_packing", "op2_byte_bpe", "op6_token_counts"])
 def test_empty_table(spark, tmp_path, name):
     spark.createDataFrame([], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
