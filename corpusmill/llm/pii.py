@@ -15,8 +15,8 @@ occurrence, whatever those hold, other occurrences too. An identifier is a whole
 of five characters or more with a digit in it, that starts and ends with a letter or digit, and lies in no base match.
 
 Only occurrences, a small share of the text, and counts of token pairs are shuffled; texts are read where they lie. The
-support that lets a pattern be counted is the same at every size of the corpus, and all that have it are counted; only a
-bitmap of fixed size goes to all tasks.
+support that lets a pattern be counted is the same at every size of the corpus, and all that have it are counted, or shown by
+a part of their count to fall short of the confidence; only a bitmap of fixed size goes to all tasks.
 
 Positions are code points, ends exclusive. Edge cases: null and empty texts have no spans; equal rows (same key and text)
 get equal results, one row each; rows that share a key but not their text are kept apart; long runs of digits, dots or
@@ -134,21 +134,41 @@ def occurrences(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
     return rows.select("key", "text_hash", "kind", "start", "end", F.col("match").alias("value"), "pattern", "copies")
 
 
-def pattern_counts(docs: DataFrame, patterns: DataFrame, text: str = "text") -> DataFrame:
-    """Occurrences in the corpus of each pattern's two tokens: pattern, total. A bitmap of fixed size drops most pairs that
-    are no pattern before they become rows; what passes is counted per task, shuffled by hash and joined, however many
+def _place(pair: Column) -> Column:
+    return F.pmod(pair, F.lit(1 << BITS)).cast("int")
+
+
+def _bit(place: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(63))
+
+
+def _in_bitmap(bits: np.ndarray) -> Callable[[Column], Column]:
+    known = bitmap_column(bits)
+    return lambda pair: F.get(known, F.shiftright(_place(pair), 6)).bitwiseAND(_bit(_place(pair))) != 0
+
+
+def pattern_counts(docs: DataFrame, patterns: DataFrame, text: str = "text", least_confidence: float = 0.6) -> DataFrame:
+    """Occurrences in the whole corpus of the two tokens of each of ``patterns`` (pattern, ceiling: how often any identifier
+    follows it) that can reach the confidence: pattern, total.
+
+    They are counted in a part of the texts first, then in a larger one, at last in all: what occurs in a part alone so often
+    that the ceiling is too small a share of it cannot reach the confidence over all, whichever identifiers are trusted. So
+    frequent pairs of tokens drop out early, and nothing that could be trusted does. A bitmap of fixed size drops most pairs
+    that are no pattern before they become rows; what passes is counted per task, shuffled by hash and joined, however many
     patterns there are."""
-    wanted = materialise(patterns.select("pattern", F.xxhash64(F.element_at(F.split("pattern", " "), 1), F.element_at(F.split("pattern", " "), 2)).alias("pair")), "pii-wanted")
-    at = F.pmod("pair", F.lit(1 << BITS)).cast("int")
-    bit = lambda at: F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(63))
-    bits = np.zeros(1 << (BITS - 6), np.int64)
-    for word, some in wanted.groupBy(F.shiftright(at, 6).alias("word")).agg(F.bit_or(bit(at))).toLocalIterator():
-        bits[word] = some
-    held = lambda pair: F.get(bitmap_column(bits), F.shiftright(F.pmod(pair, F.lit(1 << BITS)).cast("int"), 6)).bitwiseAND(bit(F.pmod(pair, F.lit(1 << BITS)).cast("int"))) != 0
-    cut = docs.where(F.col(text).isNotNull()).select(tokens(F.col(text)).alias("w"))
-    pairs = F.zip_with(F.slice("w", 1, F.greatest(F.size("w") - 1, F.lit(0))), F.slice("w", 2, F.size("w")), lambda a, b: F.xxhash64(a, b))
-    counts = cut.select(F.explode(F.filter(pairs, held)).alias("pair")).groupBy("pair").agg(F.count("*").alias("total"))
-    return wanted.join(counts, "pair").select("pattern", "total")
+    at = _place(F.col("pair"))
+    wanted = patterns.select("pattern", "ceiling", F.xxhash64(F.element_at(F.split("pattern", " "), 1), F.element_at(F.split("pattern", " "), 2)).alias("pair"))
+    for part in (1, 16, 256):  # of 256
+        wanted = materialise(wanted, "pii-wanted")
+        bits = np.zeros(1 << (BITS - 6), np.int64)
+        for word, some in wanted.groupBy(F.shiftright(at, 6).alias("word")).agg(F.bit_or(_bit(at))).toLocalIterator():
+            bits[word] = some
+        cut = docs.where(F.col(text).isNotNull() & (F.pmod(F.xxhash64(text), F.lit(256)) < part)).select(tokens(F.col(text)).alias("w"))
+        pairs = F.zip_with(F.slice("w", 1, F.greatest(F.size("w") - 1, F.lit(0))), F.slice("w", 2, F.size("w")), lambda a, b: F.xxhash64(a, b))
+        counts = cut.select(F.explode(F.filter(pairs, _in_bitmap(bits))).alias("pair")).groupBy("pair").agg(F.count("*").alias("total"))
+        wanted = wanted.join(counts, "pair", "left").where(F.coalesce("total", F.lit(0)) * least_confidence <= F.col("ceiling"))
+        wanted = wanted if part == 256 else wanted.drop("total")
+    return wanted.where("total is not null").select("pattern", "total")
 
 
 def discover(docs: DataFrame, found: DataFrame, text: str = "text", rounds: int = 3, least_confidence: float = 0.6, least_support: int = 5) -> DataFrame | None:
@@ -164,11 +184,12 @@ def discover(docs: DataFrame, found: DataFrame, text: str = "text", rounds: int
         made.append(materialise(frame, f"pii-{label}"))
         return made[-1]
 
+    ceilings = kept(edges.groupBy("pattern").agg(F.sum("n").alias("ceiling"), F.count("*").alias("values")).where(F.col("values") >= least_support).drop("values"), "ceilings")
     for _ in range(rounds):
         scored = kept(edges.join(instances, "value").groupBy("pattern").agg(F.sum(F.col("n") * F.col("score")).alias("hits"), F.count("*").alias("support")).where(F.col("support") >= least_support), "patterns")
         fresh = kept(scored.select("pattern") if asked is None else scored.select("pattern").join(asked, "pattern", "left_anti"), "fresh")
         if not fresh.isEmpty():  # those that this round's instances are the first to support
-            more = kept(pattern_counts(docs, fresh, text), "counts")
+            more = kept(pattern_counts(docs, fresh.join(ceilings, "pattern"), text, least_confidence), "counts")
             counted, asked = (more, fresh) if asked is None else (counted.unionByName(more), asked.unionByName(fresh))
         if asked is None:
             break

@@ -152,7 +152,7 @@ def test_url_filter_equals_sql(spark, sf_dir):
 URLS = [None, "", "x", "http://a.net", "http://a.net/", "http://EXAMPLE.net/en/x?y#z", "http://example.net/en", "http://example.net/en/", "ftp://b.example.com/de/", "http://xexample.com/de/", "http://u:p@example.com/de/", "http://org/fr/x", "://a.org/fr/", "http://a.net?x/y", "http://a.net#/", "http://.net/", "http://a.net:80/", "http://É.net/É"]
 
 
-def test_trie_join_and_brute_force_agree(spark):
+def test_one_or_many_tries_and_brute_force_agree(spark):
     rng = random.Random(1)
     rules = [*queries.URL_RULES, url_filter.Rule("allow", "a.net", "/x"), url_filter.Rule("block", "a.net", "/x/y/"), url_filter.Rule("block", "", "/all/"), url_filter.Rule("allow", "b.a.net", ""), url_filter.Rule("block", "b.a.net", "")]
     urls = URLS + ["http://" + ".".join(rng.choices(["a", "b", "net", "example", "com", "org"], k=rng.randint(1, 4))) + rng.choice(["", "/"]) + "/".join(rng.choices(["en", "de", "fr", "x", "y", "all", "xx", ""], k=rng.randint(0, 4))) for _ in range(600)]
@@ -161,15 +161,26 @@ def test_trie_join_and_brute_force_agree(spark):
     def brute(url):
         host, path = url_filter.split_url(url)
         fits = [r for r in rules if (r.host == "" or host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
-        best = min(fits, key=url_filter.RuleTrie._rank, default=None)
+        best = min(fits, key=url_filter.rank, default=None)
         return host, path, best and best.text, best.action if best else "allow"
 
     wanted = {i: brute(u) for i, u in enumerate(urls)}
-    for judge in (url_filter.judge, url_filter.judge_by_join):
-        got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in judge(df, rules).collect()}
-        wrong = [(urls[i], got[i], wanted[i]) for i in got if got[i] != wanted[i] and not (judge is url_filter.judge_by_join and wanted[i][2] == "/all/")]
-        assert not wrong and len(got) == len(urls)
-    assert url_filter.judge(df, rules, most_rule_bytes=0).count() == len(urls)
+    for most in (64 << 20, 200, 0):  # one trie, a few, one for each rule
+        got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in url_filter.judge(df, rules, most_rule_bytes=most).collect()}
+        assert got == wanted
+    assert len(url_filter.portions(rules, 0)) == len(rules) > len(url_filter.portions(rules, 200)) > len(url_filter.portions(rules, 1 << 20)) == 1
+
+
+def test_url_filter_edges(spark, tmp_path):
+    spark.createDataFrame([], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    assert queries.op9_url_filter(spark, str(tmp_path)).collect() == []
+    long = "http://a.net/" + "x/" * 100_000
+    pages = spark.createDataFrame([(1, "http://a.net/x", "k"), (1, "http://a.net/x", "k"), (None, long, None)], "page_id long, url string, rule string")
+    got = Counter((r.page_id, r.host, r.path, r.rule, r.verdict) for r in url_filter.judge(pages, queries.URL_RULES).collect())
+    assert got == {(1, "a.net", "/x", "net/", "block"): 2, (None, "a.net", long[12:], "net/", "block"): 1}
+    assert {r.verdict for r in url_filter.judge(pages, []).collect()} == {"allow"}
+    with pytest.raises(ValueError, match="rule"):
+        url_filter.judge(pages, queries.URL_RULES, keep=("page_id", "rule"))
 
 
 def fingerprint_case(spark, rows, path):
@@ -203,6 +214,82 @@ def test_fingerprint_edges(spark, tmp_path):
     assert fingerprint_case(spark, [], tmp_path / "e") == []
 
 
+M64 = (1 << 64) - 1
+
+
+def hash64(value, seed=42):
+    """The engine's 64-bit hash of a string or an array of ints (one after another)."""
+    import xxhash
+
+    if isinstance(value, str):
+        return xxhash.xxh64_intdigest(value.encode(), seed)
+    for v in value:
+        seed = xxhash.xxh64_intdigest((v & 0xFFFFFFFF).to_bytes(4, "little"), seed)
+    return seed
+
+
+def signed(x, bits):
+    return x - (1 << bits) if x >> (bits - 1) else x
+
+
+def hash32(*values):
+    """The engine's 32-bit hash of ints."""
+    mask, turn = 0xFFFFFFFF, lambda x, r: (x << r | x >> (32 - r)) & 0xFFFFFFFF
+    h = 42
+    for v in values:
+        k = turn((v & mask) * 0xCC9E2D51 & mask, 15) * 0x1B873593 & mask
+        h = (turn(h ^ k, 13) * 5 + 0xE6546B64) & mask
+        h ^= 4
+        h = (h ^ h >> 16) * 0x85EBCA6B & mask
+        h = (h ^ h >> 13) * 0xC2B2AE35 & mask
+        h ^= h >> 16
+    return signed(h, 32)
+
+
+def brute_fingerprints(texts):
+    import regex
+
+    ids_of = lambda t: {signed(hash64(w), 64) % (1 << fingerprint.BITS) for w in regex.split(r"[^\p{L}\p{N}]+", t.lower())}
+    code = lambda ids: f"{signed(hash64(sorted(ids)), 64) % (1 << 24):06x}" if ids else "-"
+    df = Counter(i for t in texts for i in ids_of(t))
+    band = {i for i, n in df.items() if 0.002 * len(texts) <= n <= 0.2 * len(texts)}
+
+    def one(text):
+        ids = ids_of(text)
+        own, out = ids & band, []
+        for level, slots in enumerate(fingerprint.SLOTS):
+            kept = {t for t in own if not level or hash32(t, 100 + level) % 4**level == 0}
+            out += [code({t for t in kept if hash32(t, level) % slots == k}) for k in range(slots)]
+        return [*out, "-" if own else code(ids)]
+
+    return one
+
+
+def test_fingerprints_against_plain_python(spark, tmp_path):
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(300)]
+    texts = [" ".join(rng.choices(words, k=rng.randint(0, 80))) for _ in range(60)] + ["only, rare;words", "", "Ünï 12 w1 W1"]
+    keys = [*range(58), -(2**63), 2**63 - 1, 10**15, 10**15 + 1, -5]
+    got = {r.doc_id: r for r in fingerprint_case(spark, list(zip(keys, texts)), tmp_path)}
+    one, order = brute_fingerprints(texts), sorted(zip(keys, texts))
+    prints = {k: one(t) for k, t in order}
+    for i, (key, text) in enumerate(order):
+        following, half = order[(i + 1) % len(order)], len(text) // 2
+        edited = one(text[: len(text) - half] + following[1][:half])
+        assert got[key].fingerprint == "".join(prints[key]) and got[key].edited_fingerprint == "".join(edited)
+        for other, near in ((edited, got[key].near_edited), (prints[following[0]], got[key].near_next)):
+            levels = [sum(fingerprint.SLOTS[:n]) for n in reversed(range(len(fingerprint.SLOTS)))]
+            pairs = [[x == y for x, y in zip(prints[key][n:], other[n:]) if (x, y) != ("-", "-")] for n in [*levels, 0]]
+            best = next((p for p in pairs[:-1] if len(p) >= fingerprint.ENOUGH), pairs[-1])
+            assert abs(near - (sum(best) / len(best) if best else 1)) < 1e-9
+
+
+def test_ranges_do_not_depend_on_how_ids_are_spread(spark):
+    rows = spark.range(20_000).selectExpr("id AS doc_id", "cast(id AS string) AS text").unionByName(spark.createDataFrame([(10**15, "far"), (None, "none"), (7, "again")], "doc_id long, text string"))
+    sizes = [r["count"] for r in fingerprint.with_next(rows).where("not guest").groupBy("part").count().collect()]
+    assert sum(sizes) == 20_003 and len(sizes) > 100 and max(sizes) < 20 * fingerprint.LEAST_ROWS
+
+
 def test_likeness(spark):
     one = spark.range(1)
     n = sum(fingerprint.SLOTS) + 1
