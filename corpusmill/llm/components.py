@@ -1,7 +1,8 @@
 """Connected components of large link tables.
 
 Each round points both ends of a link to the smallest neighbour that either has; trees collapse to stars in a few rounds.
-A round is one map-side combined minimum and two joins. Before a round's links are shuffled, each task contracts its own
+A round is one map-side combined minimum and two joins; the few nodes that hold a large share of the links (a bounded number)
+get their minimum by a broadcast, so no task gathers a root's links. Before a round's links are shuffled, each task contracts its own
 to a spanning forest of stars, so what moves is bounded by the nodes a task has seen. Rounds are written to the shared folder:
 neither lineage nor the loss of executors grows with them. Nothing reaches the driver but two numbers a round.
 """
@@ -64,14 +65,23 @@ def mark_of(links: DataFrame) -> tuple:
     return tuple(links.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1_000_003)).first())
 
 
+def _attach(links: DataFrame, on: str, name: str, least: DataFrame, total: int) -> DataFrame:
+    """``links`` with the minimum of the node ``on``. Nodes in more than a thousandth of all links, two thousand at most, are
+    broadcast; their links are dealt by both ends."""
+    hot = least.where(F.col("n") > max(256, total // 1000)).select(F.col("u").alias(on), F.col("m").alias("hot"))
+    dealt = links.join(F.broadcast(hot), on, "left").withColumn("at", F.when(F.col("hot").isNull(), F.col(on)).otherwise(F.xxhash64("u", "v")))
+    found = dealt.join(least.select(F.col("u").alias("at"), F.col("m").alias("cold")), "at", "left")
+    return found.withColumn(name, F.coalesce("hot", "cold")).drop("at", "hot", "cold")
+
+
 def connected(links: DataFrame, a: str, b: str) -> DataFrame:
     """(node, component) for every node of ``links`` that has a link to another; component: the smallest node reachable."""
     now = materialise(links.select(F.greatest(F.col(a), F.col(b)).cast("long").alias("u"), F.least(F.col(a), F.col(b)).cast("long").alias("v")).where("u <> v").distinct(), "links")
     mark = mark_of(now)
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        ends = now.join(least.withColumnRenamed("m", "mu"), "u").join(least.withColumnsRenamed({"u": "v", "m": "mv"}), "v")
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("n"))
+        ends = _attach(_attach(now, "u", "mu", least, mark[0]), "v", "mv", least, mark[0])
         lowest = F.least("mu", "mv")
         pairs = ends.select(F.explode(F.array(F.struct(F.col("u"), lowest.alias("v")), F.struct(F.col("v").alias("u"), lowest.alias("v")))).alias("l")).select("l.u", "l.v").where("u <> v")
         after = materialise(contract(pairs).distinct(), "links")

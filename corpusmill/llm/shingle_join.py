@@ -20,7 +20,9 @@ their intersection is at least ``num / den`` of their union; a document's compon
 Rows leave a task as links of a spanning forest, at most one per set and task, never as pairs.
 
 Edge cases: null, empty and wordless texts have the empty set and link with nothing; with fewer than k words the sequence
-is one shingle; rows that share their id are one node; an empty table gives an empty result; whole texts are read.
+is one shingle; rows that share their id are told apart by their sets, and may be in different components; a null id is never
+the smallest of a component that has another; an empty table gives an empty result; extra columns are ignored; whole texts
+are read.
 """
 
 from __future__ import annotations
@@ -37,10 +39,13 @@ from pyspark.sql import functions as F
 
 from corpusmill.llm import words as W
 from corpusmill.llm.components import connected
+from corpusmill.llm.skew import with_unique
 from corpusmill.session import drop_materialised, free_shuffles, materialise, share_code
 
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 TILE = 512
+#: Tasks that the tile pairs of one size class of a block are dealt to.
+DEALS = 32
 #: Keys that a task gathers before it sends them on.
 GATHER = 800_000
 
@@ -305,7 +310,7 @@ def link(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, text: str =
     spark = docs.sparkSession
     share_code(spark)
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil((rows.agg(F.sum(F.length("text"))).first()[0] or 0) / 50e6))
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil((rows.agg(F.sum(F.length("text"))).first()[0] or 0) / 25e6))
 
     # each document's class, and its keys, packed by bucket
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -377,9 +382,9 @@ def link(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, text: str =
 
     # one document of each class in a block, with its text
     classes = described.where("class is not null").groupBy("class", "check").agg(F.min("key").alias("rep"), F.first("n").alias("n"))
-    chosen = block.join(classes, "class").select("class", "block", "rep", "n")
+    chosen = materialise(block.join(classes, "class").select("class", "block", "rep", "n"), "shingle-placed")
     sizes = chosen.groupBy("block").agg(F.count("*").alias("size")).where("size > 1")
-    chosen = chosen.join(sizes, "block").withColumn("tiles", F.ceil(F.col("size") / TILE))
+    chosen = with_unique(chosen, sizes, ["block"]).where("size > 1").withColumn("tiles", F.ceil(F.col("size") / TILE))
     chosen = materialise(chosen.join(rows, F.col("rep") == F.col("key")).select("class", "block", "n", "tiles", "text"), "shingle-blocks")
 
     free_shuffles(spark)
@@ -398,10 +403,12 @@ def link(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, text: str =
     free_shuffles(spark)
 
     parts = parts.withColumnRenamed("start", "component")
-    members = described.where("class is not null").groupBy("class").agg(F.min("key").alias("rep")).join(parts, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    members = described.where("class is not null").groupBy("class").agg(F.min("key").alias("rep")).join(parts, "class", "left")
+    members = materialise(members.withColumn("component", F.coalesce("component", "class")), "shingle-members")
     least = members.groupBy("component").agg(F.min("rep").alias("component_id"))
-    known = members.join(least, "component").select("class", "component_id")
-    return described.join(known, "class", "left").select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component_id", "key").alias("component_id"))
+    known = with_unique(members, least, ["component"]).select("class", "component_id")
+    out = with_unique(described, known, ["class"])
+    return out.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component_id", "key").alias("component_id"))
 
 
 def _join_tiles(large: DataFrame, shared: DataFrame, parts: DataFrame, k: int, num: int, den: int) -> DataFrame:
@@ -425,7 +432,7 @@ def _join_tiles(large: DataFrame, shared: DataFrame, parts: DataFrame, k: int, n
     while True:  # one set of each component, as long as that joins many of them
         heads = placed_parts().groupBy("block", "start").agg(F.min("class").alias("class"))
         count = heads.groupBy("block").agg(F.count("*").alias("parts")).where("parts > 1")
-        heads = materialise(heads.join(count, "block").select("block", "class", "start", F.pmod(F.xxhash64("start", "parts"), F.ceil(F.col("parts") / TILE)).alias("tile"), F.lit(None).cast("int").alias("side")), "shingle-heads")
+        heads = materialise(with_unique(materialise(heads, "shingle-all-heads"), count, ["block"]).where("parts > 1").select("block", "class", "start", F.pmod(F.xxhash64("start", "parts"), F.ceil(F.col("parts") / TILE)).alias("tile"), F.lit(None).cast("int").alias("side")), "shingle-heads")
         more = materialise(_block_links(heads.join(texts, "class"), ["block", "tile"], k, num, den), "shingle-links")
         joined = more.count()
         if joined:
@@ -436,31 +443,35 @@ def _join_tiles(large: DataFrame, shared: DataFrame, parts: DataFrame, k: int, n
     now = materialise(placed_parts(), "shingle-now")
     open_blocks = now.groupBy("block").agg(F.count("*").alias("docs"), F.min("start").alias("lo"), F.max("start").alias("hi")).where("lo <> hi")
     grouped = shared.select("g", F.col("a").alias("class")).distinct().join(now, "class")
-    groups = grouped.groupBy("g").agg(F.min("block").alias("block"), F.count("*").alias("members"), F.sum(F.xxhash64("class") % 1_000_000_007).alias("mark"), F.min("start").alias("lo"), F.max("start").alias("hi")).where("lo <> hi")
+    groups = grouped.groupBy("g").agg(F.min("block").alias("block"), F.count("*").alias("members"), F.struct(F.bit_xor(F.xxhash64("class")).alias("x"), F.bit_xor(F.xxhash64("class", F.lit(1))).alias("y")).alias("mark"), F.min("start").alias("lo"), F.max("start").alias("hi")).where("lo <> hi")
     groups = materialise(groups.groupBy("block", "members", "mark").agg(F.min("g").alias("g")), "shingle-groups")  # equal groups once
     costs = open_blocks.join(groups.groupBy("block").agg(F.sum("members").alias("by_key")), "block", "left")
     costs = materialise(costs.select("block", (F.coalesce("by_key", F.lit(0)) < F.col("docs") * F.col("docs") / TILE).alias("keyed")), "shingle-costs")
-    units = now.join(costs.where("not keyed"), "block", "left_semi").select(F.col("block").alias("unit"), "class", "start", "n")
+    units = with_unique(now, costs, ["block"]).where("not keyed").select(F.col("block").alias("unit"), "class", "start", "n")
     units = units.unionByName(grouped.join(groups.join(costs.where("keyed"), "block", "left_semi").select("g"), "g", "left_semi").select(F.col("g").alias("unit"), "class", "start", "n"))
-    units = materialise(units.join(units.groupBy("unit").agg(F.count("*").alias("members")), "unit"), "shingle-units")
+    units = materialise(units, "shingle-unsized")
+    units = materialise(with_unique(units, units.groupBy("unit").agg(F.count("*").alias("members")), ["unit"]), "shingle-units")
     small = units.where(F.col("members") <= TILE).select("unit", "class", "start", F.lit(None).cast("int").alias("side"))
     more = materialise(_block_links(small.join(texts, "class"), ["unit"], k, num, den), "shingle-links")
     if not more.isEmpty():
         parts = with_links(more)
     now = units.where(F.col("members") > TILE).select(F.col("unit").alias("block"), "class", "n").join(parts, "class", "left").withColumn("start", F.coalesce("start", "class"))
+    now = materialise(now, "shingle-now")
     # tiles of one large component each, or of small components together; by size class
-    per = now.groupBy("block", "start").agg(F.count("*").alias("members"))
-    open_blocks = per.groupBy("block").agg(F.count("*").alias("parts")).where("parts > 1").select("block")
-    rest = now.join(open_blocks, "block", "left_semi").join(per, ["block", "start"]).withColumns({"mixed": F.col("members") <= TILE, "owner": F.when(F.col("members") > TILE, F.col("start")).otherwise(0), "level": F.floor(F.log("n") / ratio + 1e-9).cast("long")})
+    per = materialise(now.groupBy("block", "start").agg(F.count("*").alias("members")), "shingle-per")
+    per = with_unique(per, per.groupBy("block").agg(F.count("*").alias("parts")), ["block"]).where("parts > 1").select("block", "start", "members")
+    rest = with_unique(now, per, ["block", "start"]).where("members is not null").withColumns({"mixed": F.col("members") <= TILE, "owner": F.when(F.col("members") > TILE, F.col("start")).otherwise(0), "level": F.floor(F.log("n") / ratio + 1e-9).cast("long")})
     rest = materialise(rest.select("block", "class", "start", "mixed", "owner", "level"), "shingle-open")
     if rest.isEmpty():
         return parts
     tile = ["block", "mixed", "owner", "level"]
     cells = materialise(rest.groupBy(*tile).agg(F.ceil(F.count("*") / TILE).alias("cells")), "shingle-cells")
     tiles = cells.select(*tile, F.explode(F.sequence(F.lit(0).cast("long"), F.col("cells") - 1)).alias("cell")).select("block", F.struct("level", "mixed", "owner", "cell").alias("p"))
-    other = tiles.select("block", F.col("p").alias("q"))
+    # the tiles of a large block meet those of their own and the next size class, dealt to several tasks
+    own = tiles.withColumn("deal", F.pmod(F.xxhash64("block", "p"), F.lit(DEALS))).select("block", "deal", "p", F.explode(F.array(F.col("p.level"), F.col("p.level") + 1)).alias("level"))
+    other = tiles.select("block", F.col("p").alias("q"), F.col("p.level").alias("level"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(DEALS - 1).cast("long"))).alias("deal"))
     apart = F.col("p.mixed") | F.col("q.mixed") | (F.col("p.owner") != F.col("q.owner"))
-    pairs = tiles.join(other, "block").where((F.col("q.level") - F.col("p.level")).between(0, 1) & (F.col("p") <= F.col("q")) & apart)
+    pairs = own.join(other, ["block", "level", "deal"]).where((F.col("p") <= F.col("q")) & apart).select("block", "p", "q")
     pairs = materialise(pairs.withColumn("pair", F.monotonically_increasing_id()), "shingle-pairs")
     side = lambda t, n: F.struct(F.col(t).alias("t"), F.lit(n).cast("int").alias("side"))
     ends = pairs.select("block", "pair", F.explode(F.when(F.col("p") == F.col("q"), F.array(side("p", None))).otherwise(F.array(side("p", 0), side("q", 1)))).alias("e")).select("block", "pair", "e.t.*", "e.side")

@@ -10,7 +10,7 @@ import pytest
 pytest.importorskip("corpusmill.llm")
 pytest.importorskip("public_tokenizers")
 
-from corpusmill.llm import components, lang_id, quality, queries, shingle_join  # noqa: E402
+from corpusmill.llm import components, lang_id, near_vectors, quality, queries, shingle_join  # noqa: E402
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -210,7 +210,7 @@ def test_language_edges(spark):
 
 
 def test_filters_hold_all_languages():
-    model = lang_id.Filters(["a", "b"], np.zeros(1 << 12, np.uint64), np.zeros(2), (2,), 3)
+    model = lang_id.Filters(["a", "b"], np.zeros((1 << 12, 1), np.uint64), np.zeros(2), (2,), 3)
     grams, _, _ = lang_id.word_grams(["hello", "world"], (2,))
     for at in lang_id.positions(grams, 1 << 12, 3):
         model.slices[at] |= np.uint64(3)
@@ -218,6 +218,116 @@ def test_filters_hold_all_languages():
     assert (model.find(lang_id.word_grams(["zqxj"], (2,))[0]) == 0).all()
 
 
+def test_more_languages_than_a_word_has_bits(spark):
+    names = [f"l{i:03d}" for i in range(150)]
+    rng = random.Random(8)
+    own = {n: ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(12)] for n in names}
+    rows = [(i * 10 + j, " ".join(rng.choices(own[n], k=40)), n) for i, n in enumerate(names) for j in range(4)]
+    train = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = lang_id.fit(train)
+    assert model.languages == names and model.slices.shape[1] == 3
+    got = lang_id.predict(train, model, keep=("doc_id", "lang")).collect()
+    assert len(got) == 600 and all(r.lang == r.lang_pred for r in got)
+    with pytest.raises(ValueError, match="more than 100"):
+        lang_id.fit(train, most_languages=100)
+    assert lang_id.predict(train.where("false"), model).collect() == []
+    with pytest.raises(ValueError, match="score"):
+        lang_id.predict(train.selectExpr("doc_id", "text", "1 AS score"), model, keep=("doc_id", "score"))
+
+
+def test_language_scores_against_plain_python(spark):
+    """Shares of n-grams by sets in place of filters, which here make no false positives that count."""
+    path = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    rows = docs.withColumn("held", queries.fold("doc_id", 4) == 2).collect()
+
+    def grams(text):
+        out = []
+        for word in lang_id.regex.findall(r"\p{L}+", (text or "").lower()):
+            w = f" {word} "
+            out += [w[i : i + n] for n in (1, 2, 3, 4) for i in range(len(w) - n + 1) if w[i : i + n] != " "]
+        return out
+
+    counts = defaultdict(Counter)
+    for r in rows:
+        if not r.held and r.lang is not None and r.text is not None:
+            counts[r.lang].update(grams(r.text))
+    known = {k: {g for g, n in c.items() if n >= 2 and n >= 2e-5 * c.total()} for k, c in counts.items()}
+    got = {r.doc_id: r for r in queries.op10_language_id(spark, path).collect()}
+    for r in rows:
+        g = grams(r.text)
+        if not g:
+            assert (got[r.doc_id].lang_pred, got[r.doc_id].score) == ("und", 0)
+            continue
+        share = sorted(((sum(x in known[k] for x in g) / len(g), k) for k in known), key=lambda t: (-t[0], t[1]))
+        if share[0][0] - share[1][0] > 0.01:
+            assert got[r.doc_id].lang_pred == share[0][1]
+        assert abs(got[r.doc_id].score - share[0][0] / (share[0][0] + share[1][0])) < 0.01
+
+
+def test_quality_scores_against_plain_python(spark):
+    """Pooling and the network, recomputed word by word."""
+    import math
+    import zlib
+
+    rng = np.random.default_rng(0)
+    vectors, dim = rng.normal(size=(64, 6)), 6
+    texts = [None, "", "one two two Two!", "x " * 50, "Ä b\tc\n12 12"]
+    model = quality.Model(vectors, rng.normal(size=dim + quality.EXTRAS), rng.uniform(1, 2, dim + quality.EXTRAS), rng.normal(size=(dim + quality.EXTRAS, 3)), rng.normal(size=3), rng.normal(size=3), 0.1, 1.7)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.score for r in quality.score(docs, model).collect()}
+    for i, text in enumerate(texts):
+        words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+        n = max(1, len(words))
+        mean = sum((vectors[zlib.crc32(w.lower().encode()) % 64] + vectors[zlib.crc32(b"\0" + quality.shape(w).encode()) % 64] for w in words), np.zeros(dim)) / (2 * n)
+        extras = [np.linalg.norm(mean), sum(a == b for a, b in zip(words, words[1:])) / n, len(set(words)) / n, math.log1p(len(words)), math.log1p(len((text or "").encode()) / n)]
+        x = (np.concatenate([mean, extras]) - model.mean) / model.scale
+        z = (np.tanh(x @ model.w1 + model.b1) @ model.w2 + model.b2) / model.temperature
+        assert abs(got[i] - 1 / (1 + math.exp(-z))) < 1e-5
+    assert quality.score(docs.where("false"), model).collect() == []
+
+
+def test_near_vectors_labels_lengths_and_shared_ids(spark):
+    a, b, c = [1.0, 2.0], [1.0, 2.0001], [5.0, -1.0]
+    rows = [(0, a, "x"), (1, b, "x"), (2, a, "y"), (3, b, None), (4, [1.0, 2.0, 3.0], "x"), (5, [1.0, 2.0, 3.001], "x"), (6, a, "x"), (6, c, "x"), (7, c, "x"), (None, [9.0, 9.0], "x"), (8, [0.0, -0.0, 1.0], "z"), (9, [-0.0, 0.0, 1.0], "z")]
+    df = spark.createDataFrame([(*r, "e") for r in rows], "vec_id long, embedding array<double>, label string, h string")
+    got = sorted(((r.vec_id if r.vec_id is not None else -1, r.n_links, r.component_id) for r in near_vectors.link(df).collect()), key=str)
+    assert got == sorted([(0, 2, 0), (1, 2, 0), (2, 0, 2), (3, 0, 3), (4, 1, 4), (5, 1, 4), (6, 2, 0), (6, 1, 6), (7, 1, 6), (-1, 0, None), (8, 1, 8), (9, 1, 8)], key=str)
+    number = spark.createDataFrame([(1, a, 0.25), (2, b, 0.5), (3, b, 0.25)], "vec_id long, embedding array<double>, label double")
+    assert {r.vec_id: r.component_id for r in near_vectors.link(number).collect()} == {1: 1, 2: 2, 3: 1}
+
+
+def test_tables_grow_so_that_near_pairs_meet():
+    rng = np.random.default_rng(0)
+    base = rng.normal(size=(1500, 64))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    away = rng.normal(size=base.shape)
+    away -= (away * base).sum(1, keepdims=True) * base
+    other = 0.9801 * base + np.sqrt(1 - 0.9801**2) * away / np.linalg.norm(away, axis=1, keepdims=True)
+    for log in (9, 16, 20, 24, 28, 31):
+        width, tables = near_vectors.plan(1 << log, 0.98)
+        mean, projection = near_vectors.learn(base, width * tables, rounds=5)
+        for m, p in ((mean, projection), (0.0, near_vectors.directions(64, width * tables))):
+            code = lambda x, m=m, p=p: ((x - m) @ p >= 0).reshape(len(x), tables, width)
+            assert (code(base) == code(other)).all(axis=2).any(axis=1).mean() > 0.98
+
+
+def test_joins_of_hot_keys(spark):
+    from corpusmill.llm.skew import with_unique
+
+    rows = [(1, i) for i in range(5000)] + [(2 + i % 300, i) for i in range(900)] + [(None, i) for i in range(700)]
+    lookup = [(1, "hot"), *((2 + i, f"v{i}") for i in range(200))]
+    got = with_unique(spark.createDataFrame(rows, "k long, i long").repartition(5), spark.createDataFrame(lookup, "k long, v string"), ["k"]).collect()
+    assert Counter(map(tuple, got)) == Counter((k, i, dict(lookup).get(k)) for k, i in rows)
+
+
+def test_shingle_join_of_shared_ids(spark):
+    a, b = "a b c d e f g", "p q r s t u v"
+    df = spark.createDataFrame([(0, a), (1, a), (1, b), (2, b), (None, a), (None, "x y z")], "doc_id long, text string")
+    got = Counter((r.doc_id, r.component_id) for r in shingle_join.link(df, 3, 90, 100).collect())
+    assert got == {(0, 0): 1, (1, 0): 1, (1, 1): 1, (2, 1): 1, (None, 0): 1, (None, None): 1}
+
+
 def test_pipeline(spark, sf_dir):
     pipeline = pytest.importorskip("corpus_pipeline")
     assert [n for n, _ in pipeline.STAGES] == ["quality", "language", "near_duplicates", "personal_data", "packing"]
