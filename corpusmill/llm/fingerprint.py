@@ -5,12 +5,20 @@ band, that is, whose inverse document frequency does. Since the lower end is a s
 document) / (that share) ids can be in it, and as a bitmap the lexicon has 2**22 bits for any corpus.
 
 Several randomised subsets of the lexicon are fixed by hashing: on each of four levels, which keep all, a quarter, a
-sixteenth and a 64th of the ids, every id is in one of 16 or 32 subsets. A document's code for a subset is a hash of its sorted
-distinct terms in it. Likeness is the share of equal codes among the subsets in which either document has a term, on the
-sparsest levels that have enough of them (on all, if none have): so it is gradual for short and for long documents.
+sixteenth and a 64th of the ids, every id is in one of 16 or 32 subsets. They are small and, on a level, disjoint, where plain
+I-Match takes large, overlapping ones: a large subset's hash changes with nearly any edit and tells only equal from unequal,
+many small ones make likeness gradual. The cost: a code says less (a subset in which a document has no term says nothing),
+so it takes a number of them, and a document with few terms in the band has few. A document's code for a subset is a hash of
+its sorted distinct terms in it. Likeness is the share of equal codes among the subsets in which either document has a term,
+on the sparsest levels that have enough of them (on all, if none have): so it is gradual for short and for long documents.
+
+The next document is found in ranges of the order by id and text hash, with bounds taken from a sample of it, so that their
+sizes do not depend on how ids are spread; texts are shuffled once, by range.
 
 Edge cases: null and empty texts have no terms; a text without terms in the band has one code from all its terms, compared
-as a whole; equal fingerprints have likeness 1; equal texts have equal fingerprints; an empty table gives an empty result.
+as a whole; equal fingerprints have likeness 1; equal texts have equal fingerprints; very long texts are read whole; null
+ids come first, equal ids in the order of their texts' hashes, and each row is its own document; extra columns are ignored;
+an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,8 +35,10 @@ BITS = 22
 SLOTS = (16, 32, 32, 32)
 #: A level, with the sparser ones, decides on likeness if at least so many of its subsets have terms.
 ENOUGH = 12
-#: Ranges of document order; their number is bounded, so what is known of each can be broadcast.
-MOST_RANGES, LEAST_ROWS = 1 << 16, 128
+#: Ranges of document order; their number is bounded, so what is known of each can be broadcast. Rows sampled for a bound.
+MOST_RANGES, LEAST_ROWS, SAMPLED = 1 << 15, 128, 4
+#: Bounds that are compared one by one on each level of the search for a range.
+FANOUT = 32
 
 
 def term_ids(text: Column) -> Column:
@@ -97,14 +107,36 @@ def bitmap_column(bits: np.ndarray) -> Column:
     return F.from_json(F.lit("[" + ",".join(map(str, bits.tolist())) + "]"), "array<bigint>")
 
 
+def bounds_of(rows: DataFrame) -> list[tuple[int, int]]:
+    """Lower bounds (key, hash) of ranges of similar numbers of rows, all but the first range's, from a sample by hash of at
+    most about ``SAMPLED`` times as many rows as there are ranges."""
+    n = rows.count()
+    parts = max(1, min(MOST_RANGES, n // LEAST_ROWS))
+    share = min(1.0, SAMPLED * parts / max(n, 1))
+    sample = rows.select("order.key", "order.hash").where(F.pmod(F.xxhash64("key", "hash", F.lit(5)), F.lit(1 << 30)) < int(share * (1 << 30)))
+    found = sorted(map(tuple, sample.distinct().collect()))
+    return found[SAMPLED - 1 :: SAMPLED] if parts > 1 else []
+
+
+def range_of(order: Column, bounds: list[tuple[int, int]]) -> Column:
+    """How many of the sorted bounds are not above ``order``: a search down a tree of constant arrays."""
+    levels = [bounds]  # each level has every FANOUT-th bound of the one below
+    while len(levels[-1]) > FANOUT:
+        levels.append(levels[-1][FANOUT - 1 :: FANOUT])
+    found = F.lit(0)
+    for level in reversed(levels):
+        text = "[" + ",".join(f'{{"key":{k},"hash":{h}}}' for k, h in level) + "]"
+        known = F.from_json(F.lit(text), "array<struct<key:bigint,hash:bigint>>")
+        step = lambda at, known=known: at * FANOUT + F.size(F.filter(F.slice(known, at * FANOUT + 1, FANOUT), lambda b: b <= order))
+        found = _let(found, step)
+    return found.cast("long")
+
+
 def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows (part, key, text, guest) such that each part is a run of documents in ascending order, followed by a copy (guest)
     of the first document after it; the last part's guest is the first document of all. Texts are shuffled once."""
-    rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    lo, hi, n = rows.agg(F.min("key"), F.max("key"), F.count("*")).first()
-    parts = max(1, min(MOST_RANGES, (n or 0) // LEAST_ROWS))
-    width = max(1, -(-((hi or 0) - (lo or 0) + 1) // parts))
-    rows = rows.withColumn("part", F.coalesce(F.floor((F.col("key") - F.lit(lo or 0)) / F.lit(width)).cast("long"), F.lit(-1))).withColumn("order", F.struct(F.coalesce("key", F.lit(-(1 << 63))).alias("key"), F.xxhash64("text").alias("hash")))
+    rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).withColumn("order", F.struct(F.coalesce("key", F.lit(-(1 << 63))).alias("key"), F.xxhash64("text").alias("hash")))
+    rows = rows.withColumn("part", range_of(F.col("order"), bounds_of(rows)))
     firsts = rows.groupBy("part").agg(F.min("order").alias("order"))
     every = Window.partitionBy(F.lit(0)).orderBy("part")  # at most MOST_RANGES rows
     firsts = firsts.select("order", F.coalesce(F.lag("part").over(every), F.max("part").over(every.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("before"))

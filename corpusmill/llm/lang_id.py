@@ -1,22 +1,26 @@
 """Language ID by language-bitmask n-gram filters.
 
-A bit-sliced Bloom filter keeps, for each bit position, one machine word with a bit per language. The AND of the words at
-an n-gram's positions is the set of all languages that (appear to) contain it. Per language, the hits are counted and
-corrected for that language's false-positive rate; the language with the largest corrected share decides.
+A bit-sliced Bloom filter keeps, for each bit position, a bit per language, in as many machine words as the languages take.
+The AND of the words at an n-gram's positions is the set of all languages that (appear to) contain it. Per language, the hits
+are counted and corrected for that language's false-positive rate; the language with the largest corrected share decides.
+
+Every language of the training rows has a bit. Each language's filter is made in a task of its own; the driver gets filters
+of fixed size only.
 
 Edge cases: null, empty and letterless texts give ``und`` with score 0; equal shares go to the language first in sorted
-order; repeated rows are judged row by row; whole texts are read, in slices of bounded bytes; an empty or unlabelled
-training table gives ``und`` for all rows; extra columns are ignored unless named in ``keep``.
+order; repeated rows are judged row by row; whole texts are read, in slices of bounded bytes, a very long single word like any
+other; an empty or unlabelled training table gives ``und`` for all rows, and an empty table an empty result; extra columns are
+ignored unless named in ``keep``, and one that is named like an output is refused.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,7 +35,7 @@ _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E377
 
 @dataclass
 class Filters:
-    """``slices[p]``: the languages whose filter has bit p set; ``rates``: false positives of each language."""
+    """``slices[p]``: the languages whose filter has bit p set, 64 to a word; ``rates``: false positives of each language."""
 
     languages: list[str]
     slices: np.ndarray
@@ -40,8 +44,8 @@ class Filters:
     hashes: int
 
     def find(self, grams: np.ndarray) -> np.ndarray:
-        """The language bitmask of each n-gram hash."""
-        found = np.full(len(grams), np.uint64(0xFFFFFFFFFFFFFFFF))
+        """The language bitmask of each n-gram hash, a row of words."""
+        found = np.full((len(grams), self.slices.shape[1]), np.uint64(0xFFFFFFFFFFFFFFFF))
         for at in positions(grams, len(self.slices), self.hashes):
             found &= self.slices[at]
         return found
@@ -83,37 +87,51 @@ def word_grams(distinct: list[str], sizes: tuple[int, ...]) -> tuple[np.ndarray,
     return np.concatenate(hashes)[order], np.concatenate([[0], np.cumsum(np.bincount(owners_all, minlength=len(marked)))]), letters
 
 
-def fit(train: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", docs_per_language: int = 400, sizes: tuple[int, ...] = (1, 2, 3, 4), width: int = 1 << 21, hashes: int = 3, least: float = 2e-5) -> Filters:
+def gram_counts(distinct: list[str], n: np.ndarray, sizes: tuple[int, ...], portion: int = 1 << 16) -> tuple[np.ndarray, np.ndarray]:
+    """(n-gram hashes, how often they occur) in strings that occur n times each."""
+    grams, total = np.zeros(0, np.uint64), np.zeros(0)
+    for at in range(0, len(distinct), portion):
+        own, bounds, _ = word_grams(distinct[at : at + portion], sizes)
+        weight = np.repeat(n[at : at + portion].astype(float), np.diff(bounds))
+        grams, inverse = np.unique(np.concatenate([grams, own]), return_inverse=True)
+        total = np.bincount(inverse, np.concatenate([total, weight]), len(grams)) if len(grams) else total
+    return grams, total
+
+
+def fit(train: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", docs_per_language: int = 400, sizes: tuple[int, ...] = (1, 2, 3, 4), width: int = 1 << 21, hashes: int = 3, least: float = 2e-5, most_languages: int = 4096) -> Filters:
     """Filters from at most about ``docs_per_language`` labelled rows of each language, those of smallest hashed ``key``.
 
-    An n-gram belongs to a language if it makes up ``least`` of that language's n-grams and occurs twice. At most 64
-    languages (the most frequent ones) have a bit. The filter's size, ``width`` words, does not depend on the data.
+    An n-gram belongs to a language if it makes up ``least`` of that language's n-grams and occurs twice. The filters take
+    64 MB at most: up to 256 languages have ``width`` positions, more have fewer. More than ``most_languages`` values are
+    taken for a column that holds something else, and refused.
     """
+    spark = train.sparkSession
+    share_code(spark)
     rows = train.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    counts = {r[0]: r[1] for r in rows.groupBy(lang).count().collect()}
-    languages = sorted(sorted(counts, key=lambda k: (-counts[k], k))[:64])
-    sample = F.lit(False)
-    for name in languages:
-        share = min(1.0, docs_per_language / counts[name])
-        sample |= (F.col(lang) == name) & (F.pmod(F.xxhash64(F.col(key)), F.lit(1 << 30)) < int(share * (1 << 30)))
-    pieces = rows.where(sample).select(lang, F.explode(F.split(text, r"\s+")).alias("w")).groupBy(lang, "w").count()
-    by_language: dict[str, tuple[list[str], np.ndarray]] = {}
-    if languages:
-        counted = pieces.toArrow()
-        for name in languages:
-            own = counted.filter(pc.equal(counted.column(0), name))
-            by_language[name] = own.column(1).to_pylist(), own.column(2).to_numpy()
-    slices = np.zeros(width, np.uint64)
-    rates = np.zeros(max(1, len(languages)))
-    for i, name in enumerate(languages):
-        distinct, n = by_language[name]
-        grams, bounds, _ = word_grams(distinct, sizes)
-        unique, inverse = np.unique(grams, return_inverse=True)
-        total = np.bincount(inverse, np.repeat(n.astype(float), np.diff(bounds)), len(unique)) if len(unique) else np.zeros(0)
-        real = unique[(total >= 2) & (total >= least * total.sum())]
-        for at in positions(real, width, hashes):
-            slices[at] |= np.uint64(1 << i)
-        rates[i] = (((slices >> np.uint64(i)) & np.uint64(1)).mean()) ** hashes
+    counts = {r[0]: r[1] for r in rows.groupBy(lang).count().limit(most_languages + 1).collect()}
+    if len(counts) > most_languages:
+        raise ValueError(f"{lang} has more than {most_languages} values")
+    languages = sorted(counts)
+    words = max(1, -(-len(languages) // 64))
+    width = min(width, 1 << int(math.log2((1 << 23) / words)))
+    slices, rates = np.zeros((width, words), np.uint64), np.zeros(max(1, len(languages)))
+    if not languages:
+        return Filters(languages, slices, rates, sizes, hashes)
+    cuts = spark.createDataFrame([(n, int(min(1.0, docs_per_language / counts[n]) * (1 << 30))) for n in languages], "__lang string, __cut long")
+    sample = rows.select(F.col(lang).alias("__lang"), F.col(text).alias("__text"), F.pmod(F.xxhash64(F.col(key)), F.lit(1 << 30)).alias("__at")).join(F.broadcast(cuts), "__lang").where("__at < __cut")
+    pieces = sample.select("__lang", F.explode(F.split("__text", r"\s+")).alias("w")).groupBy("__lang", "w").agg(F.count("*").alias("n"))
+
+    def filters(own: pa.Table) -> pa.Table:
+        grams, total = gram_counts(own.column("w").to_pylist(), own.column("n").to_numpy(), sizes)
+        bits = np.zeros(width, bool)
+        for at in positions(grams[(total >= 2) & (total >= least * total.sum())], width, hashes):
+            bits[at] = True
+        return pa.table({"lang": own.column("__lang")[:1], "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()])})
+
+    for name, packed in pieces.groupBy("__lang").applyInArrow(filters, "lang string, bits binary").toLocalIterator():
+        i, bits = languages.index(name), np.unpackbits(np.frombuffer(packed, np.uint8), bitorder="little").astype(np.uint64)
+        slices[:, i // 64] |= bits << np.uint64(i % 64)
+        rates[i] = bits.mean() ** hashes
     return Filters(languages, slices, rates, sizes, hashes)
 
 
@@ -126,7 +144,7 @@ def word_scores(model: Filters, distinct: list[str], portion: int = 1 << 14) ->
         grams, bounds, letters = word_grams(distinct[part], model.sizes)
         found = model.find(grams)
         for i in range(k):
-            out[part, i] = W.sums(((found >> np.uint64(i)) & np.uint64(1)).astype(np.int64), bounds)
+            out[part, i] = W.sums(((found[:, i // 64] >> np.uint64(i % 64)) & np.uint64(1)).astype(np.int64), bounds)
         out[part, k] = np.diff(bounds)
         out[part, k + 1] = letters
     return out

@@ -7,9 +7,10 @@ Rule for a token that crosses a boundary (``rule``): ``most``: to the section th
 earlier one of equals; ``first``: to the section of its first character that lies in any. A token with no character in a
 section counts as outside.
 
-Edge cases: null and empty texts have no tokens (with line sections: one section with 0 tokens); empty sections count 0;
-overlapping or unsorted sections are an error; repeated rows are counted row by row; other columns are carried only if
-named in ``keep``.
+Edge cases: null and empty texts have no tokens (with line sections: one section with 0 tokens); empty sections count 0; what
+a section has beyond its text counts 0, and so does a section without a start or an end; overlapping or unsorted sections are
+an error; very long texts are encoded whole; repeated rows and null keys are counted row by row; an empty table gives an empty
+result; other columns are carried only if named in ``keep``, and one that is named like an output is refused.
 """
 
 from __future__ import annotations
@@ -50,6 +51,7 @@ def allocate(start: np.ndarray, end: np.ndarray, lo: np.ndarray, hi: np.ndarray,
         a, b = max(0, np.searchsorted(hi, start[t], "right")), np.searchsorted(lo, end[t], "left")
         inside = [(int(min(end[t], hi[i]) - max(start[t], lo[i])), -i) for i in range(a, b) if min(end[t], hi[i]) > max(start[t], lo[i])]
         out[t] = -1 if not inside else -max(inside)[1] if rule == "most" else -inside[0][1]
+        crossing[t] = bool(inside)  # empty sections are no boundary
     return out, crossing
 
 
@@ -89,10 +91,16 @@ def attribute(docs: DataFrame, path: str, pattern: str, sections: str = "lines",
             else:
                 spans = [s or [] for s in batch.column("__sections").to_pylist()]
                 count = np.fromiter(map(len, spans), np.int64, len(spans))
-                flat = np.array([x for s in spans for x in s], np.int64).reshape(-1, 2) + np.repeat(base[:-1], count)[:, None]
-                lo, hi = flat[:, 0], flat[:, 1]
-                if (lo > hi).any() or (len(lo) and (np.maximum.accumulate(hi)[:-1] > lo[1:]).any()):
+                given = np.array([(0, 0) if None in (x or [None]) else x for s in spans for x in s], np.int64).reshape(-1, 2)
+                used = given[:, 0] != given[:, 1]  # empty sections may stand anywhere
+                owner = np.repeat(np.arange(len(spans)), count)[used]
+                if (given[:, 0] > given[:, 1]).any() or ((owner[1:] == owner[:-1]) & (given[used][:-1, 1] > given[used][1:, 0])).any():
                     raise ValueError("sections overlap, or are not sorted")
+                size = np.repeat(np.diff(base), count)[:, None]
+                flat = np.clip(given, 0, size) + np.repeat(base[:-1], count)[:, None]
+                flat[~used] = 0
+                flat = np.maximum.accumulate(flat.ravel()).reshape(-1, 2) if len(flat) else flat  # empty ones at the end before
+                lo, hi = flat[:, 0], flat[:, 1]
             section, crossing = allocate(token_from, token_to, lo, hi, rule)
             per = np.bincount(section[section >= 0], minlength=len(lo))[: len(lo)].astype(np.int64)
             cut = np.concatenate([[0], np.cumsum(count)])

@@ -1,7 +1,12 @@
 """URL filters: a trie over reversed host labels and path segments, broadcast, with longest-match precedence.
 
+Tries hold at most ``most_rule_bytes`` of rules each; more rules make several, and the pages pass one trie after another, each
+keeping the rule that precedes. No row is shuffled, and the answer does not depend on how the rules are divided.
+
 Edge cases: a null url, or one without ``://``, has empty host and path and takes the default verdict; repeated urls
-are judged alike, row by row; extra columns are carried only if named in ``keep``; an empty table gives an empty result.
+are judged alike, row by row; very long urls are read whole; of rules with equal text the blocking one counts, without rules
+the default does; extra columns are carried only if named in ``keep``, and one that is named like an output is refused; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -10,11 +15,12 @@ from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.llm import words as W
-from corpusmill.session import share_code
+from corpusmill.session import materialise, share_code
 
 _LOWER = {i: i + 32 for i in range(65, 91)}
 
@@ -31,6 +37,11 @@ class Rule(NamedTuple):
         return f"{self.host}{self.path}"
 
 
+def rank(rule: Rule) -> tuple:
+    """Precedence: the lower one counts."""
+    return -len(rule.text), rule.action != "block", rule.text
+
+
 def split_url(url: str | None) -> tuple[str, str]:
     """(host, path) by plain text rules: no decoding, no default path."""
     start = -1 if url is None else url.find("://")
@@ -64,10 +75,6 @@ class RuleTrie:
                 at = at[0].setdefault(segment, [{}, []])
             at[1].append((last, rule))
 
-    @staticmethod
-    def _rank(rule: Rule) -> tuple:
-        return -len(rule.text), rule.action != "block", rule.text
-
     def match(self, host: str, path: str) -> Rule | None:
         best, segments = None, path.split("/")
         node, labels = self.root, reversed(host.split(".")) if host else iter(())
@@ -75,7 +82,7 @@ class RuleTrie:
             at, k = node[1], 0
             while at is not None:
                 for last, rule in at[1]:
-                    if segments[k].startswith(last) and (best is None or self._rank(rule) < self._rank(best)):
+                    if segments[k].startswith(last) and (best is None or rank(rule) < rank(best)):
                         best = rule
                 at = at[0].get(segments[k]) if k + 1 < len(segments) else None
                 k += 1
@@ -84,53 +91,48 @@ class RuleTrie:
         return best
 
 
-def host_and_path(url: Column) -> tuple[Column, Column]:
-    """The same split as :func:`split_url` as Spark expressions."""
-    at = F.instr(url, "://")
-    rest = F.when(at > 0, F.regexp_extract(url.substr(at + 3, F.length(url)), r"^[^?#]*", 0)).otherwise(F.lit(""))
-    rest = F.coalesce(rest, F.lit(""))
-    lower = F.translate(F.regexp_extract(rest, r"^[^/]*", 0), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return lower, F.regexp_extract(rest, r"^[^/]*((?s).*)$", 1)
+def portions(rules: list[Rule], most_rule_bytes: int) -> list[list[Rule]]:
+    """The rules in runs of at most so many bytes (at least one rule each, and one run in any case)."""
+    out, size = [[]], 0
+    for rule in rules:
+        own = len(rule.text.encode()) + 64
+        if out[-1] and size + own > most_rule_bytes:
+            out.append([])
+            size = 0
+        out[-1].append(rule)
+        size += own
+    return out
 
 
 def judge(pages: DataFrame, rules: list[Rule], url: str = "url", keep: tuple[str, ...] = ("page_id",), default: str = "allow", most_rule_bytes: int = 64 << 20) -> DataFrame:
-    """``keep`` columns plus host, path, rule (text or null) and verdict (the longest rule's action, else ``default``).
-
-    The trie is broadcast only while the rules' text is within ``most_rule_bytes``; larger rule sets go through
-    :func:`judge_by_join`, which shuffles both sides instead.
-    """
-    if sum(len(r.text.encode()) + 64 for r in rules) > most_rule_bytes:
-        return judge_by_join(pages, rules, url, keep, default)
+    """``keep`` columns plus host, path, rule (text or null) and verdict (the longest rule's action, else ``default``)."""
     spark = pages.sparkSession
     share_code(spark)
-    held = spark.sparkContext.broadcast(RuleTrie(rules))
     out = W.schema(pages.select(*keep), "host string, path string, rule string, verdict string")
+    found = pages.select(*keep, F.col(url).alias("__url"), F.lit(None).cast("struct<action:string,host:string,path:string>").alias("__rule"))
+    between = found.schema
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie = held.value
-        for batch in batches:
-            split = [split_url(u) for u in batch.column(len(keep)).to_pylist()]
-            found = [trie.match(h, p) for h, p in split]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(i) for i in range(len(keep))]
-                + [pa.array([h for h, _ in split], pa.string()), pa.array([p for _, p in split], pa.string()), pa.array([r and r.text for r in found], pa.string()), pa.array([r.action if r else default for r in found], pa.string())],
-                names=[*keep, "host", "path", "rule", "verdict"],
-            )
+    def tried(trie: RuleTrie, batch: pa.RecordBatch) -> tuple[list, list]:
+        split = [split_url(u) for u in batch.column("__url").to_pylist()]
+        known = [None if r is None else Rule(**r) for r in batch.column("__rule").to_pylist()]
+        best = [min(filter(None, (k, trie.match(h, p))), key=rank, default=None) for k, (h, p) in zip(known, split, strict=True)]
+        return split, best
 
-    return pages.select(*keep, F.col(url).alias("__url")).mapInArrow(run, out)
+    *before, last = [spark.sparkContext.broadcast(RuleTrie(part)) for part in portions(rules, most_rule_bytes)]
+    kind = pa.struct([("action", pa.string()), ("host", pa.string()), ("path", pa.string())])
+    for held in before:
 
+        def some(batches: Iterator[pa.RecordBatch], held: Broadcast = held) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                _, best = tried(held.value, batch)
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array([r and r._asdict() for r in best], kind)], names=batch.schema.names)
 
-def judge_by_join(pages: DataFrame, rules: list[Rule], url: str = "url", keep: tuple[str, ...] = ("page_id",), default: str = "allow") -> DataFrame:
-    """The same result for rule sets too large to broadcast: each page meets the rules of its own host suffixes by an
-    equi-join, and the longest fitting rule is kept with a map-side combined ``min_by``."""
-    spark = pages.sparkSession
-    table = spark.createDataFrame([(r.action, r.host, r.path) for r in rules], "r_action string, r_host string, r_path string")
-    table = table.groupBy("r_host", "r_path").agg(F.max("r_action").alias("r_action"))
-    host, path = host_and_path(F.col(url))
-    base = pages.select(*keep, host.alias("host"), path.alias("path")).withColumn("__row", F.monotonically_increasing_id())
-    labels = F.split("host", "[.]")
-    hosts = base.withColumn("r_host", F.explode(F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))))
-    fit = hosts.hint("shuffle_hash").join(table, "r_host").where(F.col("path").startswith(F.col("r_path")))
-    text = F.concat("r_host", "r_path")
-    best = fit.groupBy("__row").agg(F.min_by(F.struct(text.alias("rule"), F.col("r_action").alias("verdict")), F.struct(-F.length(text), F.when(F.col("r_action") == "block", 0).otherwise(1), text)).alias("best"))
-    return base.join(best, "__row", "left").select(*keep, "host", "path", "best.rule", F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
+        found = materialise(found.mapInArrow(some, between), "rules")  # a worker holds one trie at a time
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            split, best = tried(last.value, batch)
+            made = ([h for h, _ in split], [p for _, p in split], [r and r.text for r in best], [r.action if r else default for r in best])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], *(pa.array(x, pa.string()) for x in made)], names=out.names)
+
+    return found.mapInArrow(run, out)
