@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.functions import paths
-from corpusmill.operators import documents, links, store, toc, tooltips
+from corpusmill.operators import documents, links, serve, store, toc, tooltips
 from corpusmill.sources import files, sinks, tables
 
 
@@ -39,6 +39,12 @@ def stats(spark: SparkSession, a: argparse.Namespace) -> None:
     store.summary(content, store.read(spark, a.store, "ContentTypes")).orderBy("content_type").show(truncate=False)
 
 
+def serve_store(spark: SparkSession, a: argparse.Namespace) -> None:
+    with serve.server(spark, a.store, a.host, a.port) as running:
+        print("serving on http://{}:{}".format(*running.server_address), flush=True)
+        running.serve_forever()
+
+
 def import_tooltips(spark: SparkSession, a: argparse.Namespace) -> None:
     if not os.path.exists(a.sheet):
         raise SystemExit(f"no such file: {a.sheet}")
@@ -117,6 +123,7 @@ COMMANDS = {
     "create": (create, ["--store"]),
     "list": (list_documents, ["--store"]),
     "stats": (stats, ["--store"]),
+    "serve": (serve_store, ["--store", "--host", "--port"]),
     "import-tooltips": (import_tooltips, ["--sheet", "--store"]),
     "class-tooltips": (class_tooltips, ["--directory", "--store"]),
     "audit-links": (audit_links, ["--directory", "--output"]),
@@ -137,7 +144,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     for name, (_, options) in COMMANDS.items():
         sub = commands.add_parser(name)
         for option in options:
-            sub.add_argument(option, required=option not in ("--file", "--directory") or name != "ingest", type=int if option == "--menu-id" else str)
+            sub.add_argument(option, required=option not in ("--file", "--directory") or name != "ingest", type=int if option in ("--menu-id", "--port") else str)
     args = parser.parse_args(argv)
     COMMANDS[args.command][0](spark or session(), args)
 

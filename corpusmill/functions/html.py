@@ -10,6 +10,11 @@ import html
 from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
+import pandas as pd
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset(("script", "style"))
 
@@ -128,6 +133,16 @@ def parse(text: str | None) -> Node:
     return builder.root
 
 
+@F.pandas_udf(T.StringType())
+def _unescape(text: pd.Series) -> pd.Series:
+    return text.map(lambda t: None if t is None else html.unescape(t))
+
+
+def unescaped(text: Column) -> Column:
+    """Text with character references resolved, as the parser does in attribute values."""
+    return F.when(text.contains("&"), _unescape(text)).otherwise(text)
+
+
 def element(tag: str, attrs: dict[str, str | None] | None = None, *children: Node | str) -> Node:
     node = Node(tag, attrs)
     for child in children:

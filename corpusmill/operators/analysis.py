@@ -36,10 +36,10 @@ def extensions_in_order(files: DataFrame, seq: str) -> DataFrame:
 
 
 def fold_small(sizes: DataFrame, label: str, value: str, least: Column | int) -> DataFrame:
-    """(label, value, members): labels whose value is below ``least`` become one OTHER, which is there even if empty."""
+    """(label, value, members): labels whose value is below ``least`` become one OTHER, which is there even if empty; in order of label."""
     named = sizes.select(F.when(F.col(value) < least, OTHER).otherwise(F.col(label)).alias("label"), F.col(value).alias("value"), F.when(F.col(value) < least, F.col(label)).alias("member"))
     none = sizes.sparkSession.createDataFrame([(OTHER,)], "label string").select("label", F.lit(0).cast("long").alias("value"), F.lit(None).cast("string").alias("member"))
-    return named.unionByName(none).groupBy("label").agg(F.sum("value").cast("long").alias("value"), F.sort_array(F.collect_list("member")).alias("members"))
+    return named.unionByName(none).groupBy("label").agg(F.sum("value").cast("long").alias("value"), F.sort_array(F.collect_list("member")).alias("members")).orderBy("label")
 
 
 def shares(rows: DataFrame, value: str) -> DataFrame:

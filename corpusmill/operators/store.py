@@ -1,12 +1,13 @@
 """The content store: schema, ingest, upsert, lookups, statistics and audits over Parquet tables.
 
-``ingest`` is one job: a scan, a projection with the reject reason, a window per path for duplicates, one anti join with
-what is stored, and one codec call per accepted file.
+``ingest`` decides on narrow rows (path, reject reason, no content): a window per path for duplicates among the accepted and a
+join with what is stored. Content is then joined to the accepted ones, shuffled once, and each gets one codec call.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from corpusmill.functions import codec, mime, paths
-from corpusmill.session import share_code
+from corpusmill.session import drop_materialised, materialise, share_code
 
 CONTENT = T.StructType.fromJson({"type": "struct", "fields": [{"name": n, "type": t, "nullable": False, "metadata": {}} for n, t in (("id", "long"), ("path", "string"), ("languageID", "long"), ("content", "binary"), ("contentTypeID", "long"), ("compression", "string"), ("input_bytes", "long"))]})
 DEFAULT_LANGUAGE = "en-US"
@@ -81,42 +82,52 @@ def last_per_key(rows: DataFrame, keys: list[str], seq: str) -> DataFrame:
     return rows.withColumn("__n", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc(seq)))).where("__n = 1").drop("__n")
 
 
-def with_ids(rows: DataFrame, order: str, first: int) -> DataFrame:
-    """Dense ids from ``first`` in the order of a unique column, without a single-task sort: ranks within ranges, plus the
+def with_ids(rows: DataFrame, order: str, first: int, name: str = "id") -> DataFrame:
+    """Dense ids, in a column ``name``, from ``first`` in the order of a unique column, without a single-task sort: ranks within ranges, plus the
     counts of the ranges before."""
     ranged = rows.repartitionByRange(order).withColumn("__part", F.spark_partition_id())
     ranked = ranged.withColumn("__rank", F.row_number().over(Window.partitionBy("__part").orderBy(order)))
     counts = ranked.groupBy("__part").agg(F.count("*").alias("__n"), F.min(order).alias("__lo"))
     before = counts.withColumn("__before", F.coalesce(F.sum("__n").over(Window.orderBy("__lo").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return ranked.join(F.broadcast(before.select("__part", "__before")), "__part").withColumn("id", F.col("__before") + F.col("__rank") + (first - 1)).drop("__part", "__rank", "__before")
+    return ranked.join(F.broadcast(before.select("__part", "__before")), "__part").withColumn(name, F.col("__before") + F.col("__rank") + (first - 1)).drop("__part", "__rank", "__before")
 
 
-def ingest(spark: SparkSession, files: DataFrame, store: str, language: str = DEFAULT_LANGUAGE, dedup_keys: tuple[str, ...] = ("path",)) -> DataFrame:
-    """Appends the accepted ones of ``files`` (path, content) and returns (path, reject_reason) of all.
+def ingest(spark: SparkSession, files: DataFrame, store: str, language: str = DEFAULT_LANGUAGE, dedup_keys: tuple[str, ...] = ("path",), png: Callable[[bytes], bytes] | None = None) -> DataFrame:
+    """Appends the accepted ones of ``files`` (path, content) and returns (source, path, reject_reason) of all, once their
+    content is stored.
 
-    The first row of a path in the order of its original spelling wins; a path that is stored already is left alone, for any
-    language unless ``dedup_keys`` holds ``language`` too.
+    Of the acceptable rows of a path, the first in the order of its original spelling wins; what is rejected takes no path.
+    A path that is stored already is left alone, for any language unless ``dedup_keys`` holds ``language`` too. Rows that
+    agree in path and content are one file. ``png`` is applied to the bytes of PNG files before they are stored (none: they
+    stay as they are).
     """
     share_code(spark)
     create(spark, store)
     stored, languages, types = read(spark, store, "Content"), read(spark, store, "Languages"), read(spark, store, "ContentTypes")
-    rows = files.select(F.col("path").alias("source"), paths.normalize_path(F.col("path")).alias("path"), "content", F.lit(language).alias("language"))
+    rows = files.select(F.col("path").alias("source"), F.xxhash64("content").alias("mark"), paths.normalize_path(F.col("path")).alias("path"), "content", F.lit(language).alias("language"))
     have = stored.join(F.broadcast(languages.withColumnsRenamed({"id": "languageID", "value": "language"})), "languageID").select(*dedup_keys).distinct().withColumn("stored", F.lit(True))
-    judged = classify(rows, languages, mime.mime_table(spark), types).join(have, list(dedup_keys), "left")
-    order = Window.partitionBy(*dedup_keys).orderBy("source")
-    judged = judged.withColumn("reject_reason", F.when(F.col("stored") | (F.row_number().over(order) > 1), "duplicate").otherwise(F.col("reject_reason")))
-    accepted = judged.where("reject_reason is null").withColumn("compression", codec.stored_codec(F.col("policy")))
+    narrow = classify(rows, languages, mime.mime_table(spark), types).select("source", "mark", "path", "language", "languageID", "contentTypeID", "content_type", "policy", "reject_reason")
+    judged = narrow.join(have, list(dedup_keys), "left")
+    good = F.col("reject_reason").isNull()
+    order = Window.partitionBy(*dedup_keys, good).orderBy("source", "mark")
+    taken = F.col("stored") | (F.row_number().over(order) > 1)
+    judged = materialise(judged.withColumn("reject_reason", F.when(good & taken, "duplicate").otherwise(F.col("reject_reason"))), "ingest")
     first = (stored.agg(F.max("id")).first()[0] or 0) + 1
-    packed = with_ids(accepted, "path" if dedup_keys == ("path",) else "source", first).select("id", "path", "languageID", codec.encoded(F.col("content"), F.col("compression")).alias("content"), "contentTypeID", "compression", F.octet_length("content").cast("long").alias("input_bytes"))
+    accepted = with_ids(judged.where("reject_reason is null"), "path" if dedup_keys == ("path",) else "source", first).withColumn("compression", codec.stored_codec(F.col("policy")))
+    bytes_of = rows.groupBy("source", "mark").agg(F.first("content").alias("content"))
+    content = F.col("content") if png is None else F.when(F.col("content_type") == "image/png", codec.step(png)("content")).otherwise(F.col("content"))
+    full = accepted.join(bytes_of, ["source", "mark"]).withColumn("raw_bytes", F.octet_length("content").cast("long")).withColumn("content", content)
+    packed = full.select("id", "path", "languageID", codec.encoded(F.col("content"), F.col("compression")).alias("content"), "contentTypeID", "compression", F.col("raw_bytes").alias("input_bytes"))
+    packed.write.mode("append").parquet(f"{store}/Content")
     report = f"{store}/_reports/{uuid.uuid4().hex}"
     judged.select("source", "path", "reject_reason").write.parquet(report)
-    packed.write.mode("append").parquet(f"{store}/Content")
+    drop_materialised(judged)
     return spark.read.parquet(report)
 
 
 def upsert(spark: SparkSession, rows: DataFrame, store: str, name: str, keys: list[str], seq: str = "seq") -> None:
     """Insert or replace by key; of equal keys in ``rows`` the greatest ``seq`` wins. The table is written anew beside the
-    old one and swapped, so that readers see one or the other."""
+    old one and swapped by two renames; a reader that opens it between them finds no table."""
     path = f"{store}/{name}"
     columns = [c for c in rows.columns if c != seq]
     new = last_per_key(rows, keys, seq).select(*columns)

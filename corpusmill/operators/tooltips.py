@@ -113,9 +113,10 @@ def class_pages(pages: DataFrame) -> DataFrame:
 
 
 def class_tooltips(pages: DataFrame, index: DataFrame, root: str, category: str = "java") -> DataFrame:
-    """Tooltips with seq (the path: the last page of a tag wins) of class pages and an index (url, description)."""
+    """Tooltips with seq (the path: the last page of a tag wins) of class pages and an index (url, description, seq: the last
+    entry of a url wins)."""
     parsed = class_pages(pages).withColumn("url", paths.relative_to(F.col("path"), root))
-    named = parsed.join(index.groupBy("url").agg(F.last("description").alias("description")), "url", "left")
+    named = parsed.join(index.groupBy("url").agg(F.max_by("description", "seq").alias("description")), "url", "left")
     buttons = F.transform("links", lambda b: F.struct(b["first"].alias("first"), paths.button_uri(F.col("path"), b["second"]).alias("second")))
     return named.select(F.lit(category).alias("tooltipCategory"), F.col("tag").alias("tooltipTag"), F.coalesce("description", F.lit(NO_SUMMARY)).alias("tooltipSummary"), F.col("detail").alias("tooltipDetail"), button_json(buttons).alias("tooltipButtons"), F.col("path").alias("seq"))
 
@@ -124,7 +125,7 @@ def import_class_docs(spark: SparkSession, folder: str, store_dir: str) -> int:
     """Upserts the tooltips of a folder of class documentation; the number of pages."""
     index_file = files.binary(spark, f"{folder}/allclasses-index.html").select("content")
     rows = [p for r in index_file.collect() for p in class_index(html.parse(r.content.decode("utf-8", "replace")))]
-    index = spark.createDataFrame(rows, "url string, description string")
+    index = spark.createDataFrame([(*row, i) for i, row in enumerate(rows)], "url string, description string, seq long")
     tips = materialise(class_tooltips(files.class_docs(spark, folder), index, folder), "class-docs")
     store.upsert(spark, tips, store_dir, store.TOOLTIPS, ["tooltipCategory", "tooltipTag"])
     return tips.count()

@@ -6,6 +6,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,7 +15,7 @@ from pyspark.sql.window import Window
 
 from corpusmill.functions import codec, html, mime, paths
 from corpusmill.operators import analysis, documents, links, serve, store, toc, tooltips
-from corpusmill.session import share_code, table
+from corpusmill.session import share_code, shared_dir, table
 from corpusmill.sources import files
 from corpusmill.streaming import ingest
 
@@ -107,12 +108,13 @@ def store_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.stats(rows)
 
 
-@register()
+@register("SELECT count(*) AS files, CAST(sum(strlen(text)) AS BIGINT) AS input_bytes, true AS smaller, true AS share_fits FROM documents")
 def store_stats_compressed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same with content encoded by its type's policy (K1, K5)."""
+    """The same with content encoded by its type's policy."""
     share_code(spark)
     rows = text_files(spark, sf_dir).select(codec.compress(F.encode("text", "utf-8"), F.lit(codec.COMPRESSED)).alias("content"), F.octet_length("text").alias("input_bytes"))
-    return store.stats(rows)
+    share = 100 * (1 - F.col("stored_bytes") / F.col("input_bytes"))
+    return store.stats(rows).select("files", "input_bytes", ((F.col("stored_bytes") > 0) & (F.col("stored_bytes") < F.col("input_bytes"))).alias("smaller"), (F.abs(F.col("percent_saved") - share) < 0.01).alias("share_fits"))
 
 
 @register("SELECT count(*) AS files, count(*) AS intact FROM documents WHERE text IS NOT NULL")
@@ -222,10 +224,42 @@ def png_magic_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", codec.is_png(F.unhex(F.replace(head, F.lit("{}"), F.lpad(F.hex("doc_id"), 8, "0")))).alias("png"))
 
 
-@register()
+@register("SELECT 100 AS files, 100 AS names, 100 AS of_known_kinds, 0 AS without_content")
 def synthetic_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Made-up files."""
-    return files.synthetic(spark)
+    known = F.col("path").rlike("^file[0-9]+[.](html|txt|css|md|json|js)$")
+    return files.synthetic(spark).agg(F.count("*").alias("files"), F.countDistinct("path").alias("names"), F.count_if(known).alias("of_known_kinds"), F.count_if(F.octet_length("content") == 0).alias("without_content"))
+
+
+_INGEST_SQL = """
+WITH f AS (
+  SELECT page_id, page_id // 3 AS k, (['../', './', ''])[CAST(page_id % 3 AS INT) + 1] AS up,
+         'p' || page_id // 3 || CASE WHEN page_id // 3 % 5 = 1 THEN '.txt' WHEN page_id // 3 % 5 = 2 THEN '.log' ELSE '.png' END AS path,
+         CASE WHEN page_id // 3 % 5 = 2 THEN 'unknown_extension' WHEN page_id // 3 % 5 <> 1 AND page_id % 3 = 0 AND page_id // 3 % 2 = 0 THEN 'invalid_image' END AS bad
+  FROM pages),
+r AS (SELECT *, row_number() OVER (PARTITION BY path, bad IS NULL ORDER BY up || path) AS n FROM f)
+SELECT up || path AS source, path, coalesce(bad, CASE WHEN n > 1 THEN 'duplicate' END) AS reject_reason, CASE WHEN bad IS NULL AND n = 1 THEN page_id END AS page_id FROM r"""
+
+
+@register(_INGEST_SQL)
+def ingest_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The store's own ingest, read back: rejects, first acceptable file of a path, content."""
+    share_code(spark)
+    home = f"{shared_dir(spark).rstrip('/')}/corpusmill-store-{uuid.uuid4().hex}"
+    k, which = F.floor(F.col("page_id") / 3), F.floor(F.col("page_id") / 3) % 5
+    path = F.concat(F.element_at(F.array(*map(F.lit, ("../", "./", ""))), (F.col("page_id") % 3 + 1).cast("int")), F.lit("p"), k.cast("string"), F.when(which == 1, ".txt").when(which == 2, ".log").otherwise(".png"))
+    picture = F.unhex(F.replace(F.lit(_PNG), F.lit("{}"), F.lpad(F.hex("page_id"), 8, "0")))
+    bad = (F.col("page_id") % 3 == 0) & (k % 2 == 0)
+    content = F.when(which == 1, F.encode(F.concat(F.repeat(F.lit("text "), 50), F.col("page_id").cast("string")), "utf-8")).when(bad, F.encode(F.lit("none"), "utf-8")).otherwise(picture)
+    rows = table(spark, sf_dir, "pages").select("page_id", path.alias("path"), content.alias("content"))
+    store.ingest(spark, rows.where(k % 2 == 0), home)
+    store.ingest(spark, rows.where(k % 2 == 1), home)  # two batches, one store
+    held = store.read(spark, home, "Content")
+    plain = codec.decoded(F.col("content"), F.col("compression"))
+    digits = F.when(F.col("path").endswith(".txt"), F.regexp_extract(F.decode(plain, "utf-8"), "([0-9]+)$", 1).cast("long")).otherwise(F.conv(F.hex(F.substring(plain, 30, 4)), 16, 10).cast("long"))
+    found = held.select("path", digits.alias("page_id"))
+    own = F.when(F.col("reject_reason").isNull(), F.col("page_id"))
+    return spark.read.parquet(f"{home}/_reports/*").join(found, "path", "left").select("source", "path", "reject_reason", own.alias("page_id"))
 
 
 # serving ------------------------------------------------------------------------------------------------------------
@@ -247,8 +281,9 @@ def serve_lookup_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(f"""
 SELECT page_id AS request_id, 200 AS status, 'text/html' AS content_type, CASE WHEN page_id % 3 = 0 THEN 'deflate' END AS content_encoding,
-       CASE WHEN page_id % 3 <> 0 THEN CAST(strlen(html) AS BIGINT) END AS plain_length
-FROM pages""")
+       CASE WHEN page_id % 3 <> 0 THEN CAST(strlen(html) AS BIGINT) END AS plain_length, md5(html) AS body_md5
+FROM pages
+UNION ALL SELECT -1 - page_id, 404, 'text/html', NULL, NULL, 'p/none' || page_id FROM pages WHERE page_id % 10 = 0""")
 def serve_respond(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Responses to lookups by unique paths, as stored or decoded."""
     share_code(spark)
@@ -258,8 +293,11 @@ def serve_respond(spark: SparkSession, sf_dir: str) -> DataFrame:
     languages = spark.createDataFrame([(1, store.DEFAULT_LANGUAGE)], "id long, value string")
     types = spark.createDataFrame([(1, "text/html")], "id long, value string")
     asked = pages.select(F.col("page_id").alias("request_id"), F.concat(F.lit("/"), key).alias("url"), F.lit(None).cast("string").alias("accept_language"), cycle("page_id", "gzip, deflate ,br", "gzip", "deflate;q=0").alias("accept_encoding"))
-    done = serve.respond(serve.resolve(asked, content, languages, types))
-    return done.select("request_id", "status", "content_type", "content_encoding", F.when(F.col("content_encoding").isNull(), F.col("content_length")).alias("plain_length"))
+    lost = pages.where("page_id % 10 = 0").select((-1 - F.col("page_id")).alias("request_id"), F.concat(F.lit("/p/none"), F.col("page_id").cast("string")).alias("url"), F.lit(None).cast("string").alias("accept_language"), F.lit(None).cast("string").alias("accept_encoding"))
+    done = serve.respond(serve.resolve(asked.unionByName(lost), content, languages, types))
+    found, packed = F.col("status") == 200, F.col("content_encoding").isNotNull()
+    body = F.when(found, F.md5(F.when(packed, codec.decompress(F.col("body"), F.coalesce("content_encoding", F.lit("none")))).otherwise(F.col("body")))).otherwise(F.regexp_extract(F.decode("body", "utf-8"), "(p/none[0-9]+)", 1))
+    return done.select("request_id", "status", "content_type", "content_encoding", F.when(found & ~packed, F.col("content_length")).alias("plain_length"), body.alias("body_md5"))
 
 
 _ENCODINGS = ("br", "gzip, br", "gzip,deflate", "br;q=1", "*", "deflate , br ")
@@ -450,24 +488,78 @@ def tag_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select(F.explode(tags).alias("tag")).groupBy("tag").agg(F.count("*").alias("n"))
 
 
-@register()
+def _rich_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(page_id, path, html): pages whose articles also have links, code, navigation and pictures; some have no article."""
+    key = F.col("page_id").cast("string")
+    more = F.concat(F.lit('<div class="navigation-links b">n</div><a href="https://e.example/'), key, F.lit('">o</a><a href="/k/'), key, F.lit('?q#f" class="k" style="x;">i</a><a href="/'), (F.col("page_id") + 1).cast("string"), F.lit('?a=1&amp;b=2">j</a><div class="code-block x">c</div><img src="/img/'), key, F.lit('"><devsite-x>w</devsite-x></article>'))
+    page = F.when(F.col("page_id") % 7 == 0, F.regexp_replace("html", "</?article>", "")).otherwise(F.replace(F.col("html"), F.lit("</article>"), more))
+    return table(spark, sf_dir, "pages").select("page_id", F.concat(F.lit("site/"), key).alias("path"), page.alias("html"))
+
+
+def _count(page: Column, part: str) -> Column:
+    return F.size(F.regexp_extract_all(page, F.lit(part), F.lit(0)))
+
+
+_PLAIN_SQL = "replace(regexp_replace({0}, '<[^>]*>', '', 'g'), '&amp;', '&')"
+
+
+@register(rf"""
+SELECT page_id, CASE WHEN page_id % 7 = 0 THEN 'raw' ELSE 'article' END AS status, regexp_extract(html, '(?s)<title>(.*?)</title>', 1) AS title,
+       CASE WHEN page_id % 7 = 0 THEN 0 ELSE 1 END AS n_away, CASE WHEN page_id % 7 = 0 THEN 0 ELSE 1 END AS n_local, CASE WHEN page_id % 7 = 0 THEN 0 ELSE 1 END AS n_code, page_id % 7 = 0 AS code_left,
+       md5(CASE WHEN page_id % 7 = 0 THEN {_PLAIN_SQL.format("regexp_extract(regexp_replace(html, '</?article>', '', 'g'), '(?s)<h1>.*', 0)")} ELSE {_PLAIN_SQL.format("regexp_extract(html, '(?s)<h1>.*</article>', 0)")} || 'oijcw' END) AS text_md5
+FROM pages""")
 def article_debloat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Articles cleaned and rewrapped."""
-    return documents.debloat_articles(page_files(spark, sf_dir), "path")
+    """Articles cleaned and rewrapped, by what they hold."""
+    done = documents.debloat_articles(_rich_pages(spark, sf_dir), "page_id")
+    page = F.col("clean")
+    text = F.replace(F.regexp_replace(F.regexp_extract(page, "(?s)<h1>.*", 0), "<[^>]*>", ""), F.lit("&amp;"), F.lit("&"))
+    return done.select(
+        "page_id",
+        "status",
+        documents.title_text(page).alias("title"),
+        _count(page, r'<a href="https://e[.]example/[0-9]+" style="color: red !important;">').alias("n_away"),
+        _count(page, r'<a href="/k/[0-9]+\?q#f" class="k" style="x;color: blue !important;">').alias("n_local"),
+        _count(page, '<div class="code-block x" style="font-family: monospace').alias("n_code"),
+        (page.contains("<script") | page.contains("<style")).alias("code_left"),
+        F.md5(F.encode(text, "utf-8")).alias("text_md5"),
+    )
 
 
-@register()
+@register("""
+SELECT page_id, page_id || '.html' AS output_name, page_id % 7 <> 0 AS has_article,
+       CASE WHEN page_id % 7 <> 0 THEN 1 END AS n_external, CASE WHEN page_id % 7 <> 0 THEN CASE WHEN page_id + 1 IN (SELECT page_id FROM pages) THEN 1 ELSE 0 END END AS n_existing,
+       CASE WHEN page_id % 7 <> 0 THEN CASE WHEN page_id + 1 IN (SELECT page_id FROM pages) THEN 1 ELSE 2 END END AS n_missing,
+       CASE WHEN page_id % 7 <> 0 THEN CASE WHEN page_id % 2 = 0 THEN 1 ELSE 0 END END AS n_pictures, CASE WHEN page_id % 7 <> 0 THEN CASE WHEN page_id % 2 = 0 THEN 0 ELSE 1 END END AS n_crosses,
+       CASE WHEN page_id % 7 <> 0 THEN 'k_' || page_id || '.html#f|' || (page_id + 1) || '.html' END AS locals, CASE WHEN page_id % 7 <> 0 THEN false END AS widget_left
+FROM pages""")
 def site_debloat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A site's articles with local links and media."""
-    pages = page_files(spark, sf_dir).dropDuplicates(["path"])
-    none = spark.createDataFrame([], "path string, src string, new_src string")
-    return documents.debloat_site(pages, none, "menu.html")
+    """A site's articles with local links and media, by what they hold."""
+    pages = _rich_pages(spark, sf_dir)
+    key = F.col("page_id").cast("string")
+    media = pages.where("page_id % 2 = 0").select("path", F.concat(F.lit("/img/"), key).alias("src"), F.concat(F.lit("media/m"), key).alias("new_src"))
+    page = F.col("clean")
+    locals_ = F.array_join(F.regexp_extract_all(page, F.lit('<a href="([^"]*)"[^>]* linkstatus='), F.lit(1)), "|")
+    return documents.debloat_site(pages, media, "menu.html").select(
+        F.regexp_extract("path", "[0-9]+$", 0).cast("long").alias("page_id"),
+        "output_name",
+        page.isNotNull().alias("has_article"),
+        *(_count(page, f'class="[^"]*{kind}"').alias(name) for kind, name in (("\\bexternal", "n_external"), ("(?<!-)existing", "n_existing"), ("non-existing", "n_missing"))),
+        _count(page, '<img src="media/m[0-9]+"').alias("n_pictures"),
+        _count(page, "<svg").alias("n_crosses"),
+        locals_.alias("locals"),
+        page.contains("devsite").alias("widget_left"),
+    )
 
 
-@register()
+@register(rf"""
+SELECT page_id, len(l) AS n_links, coalesce(array_to_string(list_transform(l, lambda x: CASE WHEN x LIKE 'http://%' OR x LIKE 'https://%' THEN x ELSE replace(regexp_replace(x, '^/', ''), '/', '_') || '.html' END), '|'), '') AS links, 0 AS n_other
+FROM (SELECT page_id, regexp_extract_all({NO_CODE_SQL}, '<a\s[^>]*?href="([^"]+)"', 1) AS l FROM pages)""")
 def menu_strip_attrs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Menus without attributes."""
-    return documents.rewrite(table(spark, sf_dir, "pages"), "page_id", "html", documents.menu_only)
+    """Menus without attributes, by the links they keep."""
+    done = documents.rewrite(table(spark, sf_dir, "pages"), "page_id", "html", documents.menu_only)
+    page = links.without_code(F.col("clean"))
+    kept = F.regexp_extract_all(page, F.lit('<a href="([^"]*)">'), F.lit(1))
+    return done.select("page_id", F.size(kept).alias("n_links"), F.array_join(kept, "|").alias("links"), (_count(page, "<[a-z][a-z0-9-]* [^>]*>") - F.size(kept)).alias("n_other"))
 
 
 # analysis -----------------------------------------------------------------------------------------------------------
@@ -684,7 +776,7 @@ def class_tooltips(spark: SparkSession, sf_dir: str) -> DataFrame:
     page = F.concat(F.lit('<meta name="keywords" content="m(x) y"><meta name="keywords" content="pkg.'), name, F.lit(' class"><div class="header"><div class="sub-title"><span class="package-label-in-type">P</span><a href="../s.html">pkg</a></div></div><section class="class-description"><div class="type-signature">no</div><div class="block">'), name, F.lit("</div></section>"))
     suppliers = table(spark, sf_dir, "supplier")
     pages = suppliers.select(F.concat(F.lit("docs/api/m/"), key, F.lit(".html")).alias("path"), F.encode(page, "utf-8").alias("content"))
-    index = suppliers.where("s_suppkey % 2 = 0").select(F.concat(F.lit("m/"), key, F.lit(".html")).alias("url"), F.concat(F.lit("summary "), key).alias("description"))
+    index = suppliers.where("s_suppkey % 2 = 0").select(F.concat(F.lit("m/"), key, F.lit(".html")).alias("url"), F.concat(F.lit("summary "), key).alias("description"), F.col("s_suppkey").alias("seq"))
     tips = tooltips.class_tooltips(pages, index, "docs/api")
     first = F.from_json("tooltipButtons", f"array<{tooltips.BUTTON}>")[0]["first"]
     return tips.select(F.col("tooltipCategory").alias("category"), F.col("tooltipTag").alias("tag"), F.col("tooltipSummary").alias("summary"), F.col("tooltipDetail").alias("detail"), first.alias("label"))

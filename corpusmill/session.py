@@ -36,11 +36,13 @@ def share_code(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where the session has none (unit tests on one host) a temporary folder is chosen and set.
+    Only where a session on one host has none (unit tests) a temporary folder is chosen and set; on a cluster it is required.
     """
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not path:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="corpusmill-")
         sc.setCheckpointDir(path)
     return path

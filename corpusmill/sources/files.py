@@ -87,6 +87,17 @@ def whole_text(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(F.trim(F.regexp_replace("value", r"^\s+|\s+$", "")).alias("text"))
 
 
+def docs_version(spark: SparkSession, folder: str, name: str = "docs_version.txt") -> DataFrame:
+    """(docs_version): the stamp that a staged corpus carries (one row; null if the file is empty)."""
+    return whole_text(spark, f"{folder}/{name}").select(F.nullif("text", F.lit("")).alias("docs_version"))
+
+
+def staged(spark: SparkSession, folder: str, name: str = "docs_version.txt") -> DataFrame:
+    """The files of a staged corpus without the stamp itself, each with its ``docs_version``."""
+    rows = binary(spark, folder, recursive=True).where(paths.basename(F.col("path")) != name)
+    return rows.withColumn("docs_version", F.lit(docs_version(spark, folder, name).first().docs_version))
+
+
 def with_content(files: DataFrame, content: DataFrame) -> DataFrame:
     """Inventory rows with their text, for substring tests."""
     return files.join(content.select(F.col("path").alias("file_name"), F.decode("content", "utf-8").alias("text")), "file_name")

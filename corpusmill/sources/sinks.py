@@ -71,6 +71,7 @@ def run_parameters(spark: SparkSession, parameters: dict[str, object]) -> DataFr
 
 ARTICLE_CSS = """\
 body { margin: 0 auto; max-width: 60rem; padding: 1rem; font-family: sans-serif; line-height: 1.5; }
+.to-menu { padding: 1rem 0; font-size: 1.5rem; }
 pre, .code-block { overflow-x: auto; font-family: monospace; white-space: pre-wrap; }
 img, svg { max-width: 100%; height: auto; }
 """
@@ -82,11 +83,12 @@ a.existing { color: #00408b; }
 a.non-existing { color: #666; text-decoration: line-through; }
 """
 TOC_CSS = """\
-.toc-container { border: 1px solid #ccc; padding: 5px; font-family: sans-serif; }
-.toc-list { margin: 0; padding: 0; list-style: none; }
-.toc-list .hidden { display: none; }
-.icon-wrapper svg { transition: transform 0.2s; transform: rotate(-90deg); }
-.open > .icon-wrapper svg { transform: none; }
+.contents { padding: 0.5rem; font-family: sans-serif; }
+#toc-list { margin: 0; padding: 0; list-style: none; line-height: 1.7; }
+#toc-list .hidden { display: none; }
+#toc-list .heading { cursor: pointer; }
+.twist { display: inline-block; width: 1.2em; }
+.open > .twist { transform: rotate(90deg); }
 """
 TOC_JS = """\
 document.querySelectorAll("#toc-list .heading").forEach((head) => head.addEventListener("click", () => {

@@ -79,6 +79,47 @@ def test_ingest(spark, folder, tmp_path):
     assert bytes(got[4].body) == FILES["a.svg"]
 
 
+def test_rejected_files_take_no_path(spark, tmp_path):
+    home, good = f"{tmp_path}/s", png()
+    rows = spark.createDataFrame([("../a.png", b"no picture"), ("./a.png", good), ("a.png", png(3)), ("../b.txt", b"one"), ("../b.txt", b"one"), ("b.txt", b"two"), ("c.png", good + b"trailing bytes"), ("d.png", good[:-4])], "path string, content binary")
+    report = sorted((r.source, r.reject_reason or "") for r in store.ingest(spark, rows, home, png=lambda data: data + b"!").collect())
+    assert report == sorted([("../a.png", "invalid_image"), ("./a.png", ""), ("a.png", "duplicate"), ("../b.txt", ""), ("../b.txt", "duplicate"), ("b.txt", "duplicate"), ("c.png", ""), ("d.png", "invalid_image")])
+    content, languages = store.read(spark, home, "Content"), store.read(spark, home, "Languages")
+    assert content.count() == 3 and store.get_file(content, languages, "a.png") == good + b"!" and store.get_file(content, languages, "b.txt") == b"one"
+    assert {r.path: r.input_bytes for r in content.collect()}["a.png"] == len(good)
+
+
+def test_server(spark, tmp_path):
+    import threading
+    import urllib.error
+    import urllib.request
+
+    home = f"{tmp_path}/s"
+    store.ingest(spark, spark.createDataFrame([("d/a.html", PROSE)], "path string, content binary"), home)
+    with serve.server(spark, home) as running:
+        threading.Thread(target=running.serve_forever, daemon=True).start()
+        base = "http://{}:{}".format(*running.server_address)
+        with urllib.request.urlopen(f"{base}/d/a.html", timeout=60) as got:
+            assert got.read() == PROSE and got.headers["Content-Type"] == "text/html"
+        with pytest.raises(urllib.error.HTTPError, match="404"):
+            urllib.request.urlopen(f"{base}/<none>", timeout=60)
+        running.shutdown()
+
+
+def test_lookups_read_content_of_what_is_asked_for(spark, tmp_path):
+    home = f"{tmp_path}/s"
+    store.ingest(spark, spark.createDataFrame([(f"f{i}.txt", b"x") for i in range(50)], "path string, content binary"), home)
+    asked = spark.createDataFrame([(i, "/f7.txt", None, None) for i in range(3)] + [(9, "/f8.txt", "de", None)], "request_id long, url string, accept_language string, accept_encoding string")
+    found = serve.resolve(asked, *(store.read(spark, home, t) for t in store.TABLES))
+    assert sorted((r.request_id, r.status) for r in found.collect()) == [(0, 200), (1, 200), (2, 200), (9, 404)]
+
+
+def test_staged_corpus(spark, tmp_path):
+    (tmp_path / "docs_version.txt").write_text("abc123\n")
+    (tmp_path / "a.html").write_text("<p>")
+    assert [(r.path.rsplit("/", 1)[-1], r.docs_version) for r in files.staged(spark, str(tmp_path)).collect()] == [("a.html", "abc123")]
+
+
 def test_empty_and_wrong_stores(spark, tmp_path):
     home = f"{tmp_path}/store"
     store.create(spark, home)
@@ -185,14 +226,14 @@ def test_article(spark):
 
 
 def test_site(spark):
-    page = '<article><div id="devsite-article-meta">m</div><devsite-x>w</devsite-x><img src="/i.png"><img src="/gone.png"><a href="/b/c?q#f" class="k">1</a><a href="/z">2</a><a href="https://e.org">3</a></article>'
-    df = spark.createDataFrame([("x/a", page), ("x/b_c", "<article>t</article>"), ("x/n", "no")], "path string, html string")
+    page = '<article><div id="devsite-article-meta">m</div><devsite-x>w</devsite-x><img src="/i.png"><img src="/gone.png"><a href="/b/c?q#f" class="k">1</a><a href="/z">2</a><a href="https://e.org">3</a><a href="/q?a=1&amp;b=2">4</a><a href="/it&apos;s here">5</a></article>'
+    df = spark.createDataFrame([("x/a", page), ("x/b_c", "<article>t</article>"), ("x/it's here", "none"), ("x/n", "no")], "path string, html string")
     media = spark.createDataFrame([("x/a", "/i.png", "media/i.png")], "path string, src string, new_src string")
     got = {r.path: r for r in documents.debloat_site(df, media, "menu.html").collect()}
     clean = got["x/a"].clean
     assert got["x/a"].output_name == "a.html" and got["x/n"].clean is None
     assert 'src="media/i.png"' in clean and "gone" not in clean and clean.count("<svg") == 1 and "devsite" not in clean
-    assert '<a href="b_c.html#f" class="k existing" linkstatus="existing">' in clean and 'linkstatus="non-existing"' in clean and 'class="external"' in clean
+    assert '<a href="b_c.html#f" class="k existing" linkstatus="existing">' in clean and clean.count('linkstatus="existing"') == 2 and clean.count('linkstatus="non-existing"') == 2 and 'class="external"' in clean
 
 
 def test_toc(spark, tmp_path):
