@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.llm import lang_id, packing, pii, quality, shingle_join
 from corpusmill.llm.queries import QUALITY_LEAST, fold, quality_model
-from corpusmill.session import materialise, table
+from corpusmill.session import drop_materialised, materialise, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Least share of a text's n-grams (one to four characters) that its language must have, without what the filters give by
@@ -67,13 +67,16 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("packing", packing_stage),
 ]
 
-#: Trained models, hashed signatures and tokenizers are beyond SQL; tests hold the stages against brute force.
+#: Trained models, bootstrapped patterns and tokenizers are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
-    docs = table(spark, sf_dir, "documents")
+    docs, last = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if last is not None:
+            drop_materialised(last)  # no later stage reads it
+        last = docs
     return STAGES[-1][1](spark, docs, sf_dir)

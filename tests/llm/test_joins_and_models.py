@@ -350,6 +350,31 @@ def test_pipeline(spark, sf_dir):
     assert pipeline.run(spark, sf_dir).agg({"length": "sum"}).first()[0] > 0
 
 
+def test_pipeline_stages_on_odd_rows(spark, sf_dir):
+    """Null, empty and very long texts in the stages that judge or pack them; packing against the tokenizer itself."""
+    import struct
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    pipeline = pytest.importorskip("corpus_pipeline")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    best = max((r.text or "" for r in docs.collect()), key=len)
+    odd = spark.createDataFrame([(-1, None, "en", "s", None), (-2, "", None, None, 0), (None, best + " " + best, "en", "s", 1), (-3, "x" * 300_000, None, "s", 1)], docs.schema)
+    both = docs.unionByName(odd)
+    kept = [r.doc_id for r in pipeline.quality_stage(spark, both, sf_dir).collect()]
+    assert Counter(kept) <= Counter(r.doc_id for r in both.collect())
+    language = pipeline.language_stage(spark, both, sf_dir).select("doc_id", "text").collect()
+    assert {(r.doc_id, r.text) for r in language if r.doc_id is None or r.doc_id < 0} == {(None, best + " " + best)}
+    reference = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    pieces = defaultdict(list)
+    for r in pipeline.packing_stage(spark, both, sf_dir).collect():
+        pieces[r.doc_id].append((r.start, struct.unpack(f"<{r.length}I", r.ids)))
+    for r in both.collect():
+        assert [x for _, p in sorted(pieces[r.doc_id]) for x in p] == [*reference.encode(r.text or "", add_special_tokens=False).ids, 1]
+    assert pipeline.packing_stage(spark, docs.limit(0), sf_dir).collect() == []
+
+
 def test_language_stage_rejects_what_no_language_knows(spark, sf_dir):
     pipeline = pytest.importorskip("corpus_pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
