@@ -38,12 +38,12 @@ _PLAIN = "^(?P<head>[a-z\u00df-\u00f6\u00f8-\u00ff]+)(?P<tail>[.,;:!?&%$#*|]+)$"
 class WordTokenizer:
     """A tokenizer whose model drops white space, so that texts can be cut there and equal words encoded once.
 
-    ASCII capitals are lowered before words are compared, which the tokenizer does anyway. Ids of the words seen last are
-    kept, one after another, in one array, as long as the words have at most ``held`` bytes of text. Texts with the string
-    of a special token are encoded whole.
+    ASCII capitals are lowered before words are compared, which the tokenizer does anyway. Ids of words are kept, one after
+    another, in one array; when the words have more than ``held`` bytes of text, those used least go. Texts with the string of
+    a special token are encoded whole.
     """
 
-    def __init__(self, path: str, held: int = 5 << 20):
+    def __init__(self, path: str, held: int = 2 << 20):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -54,13 +54,22 @@ class WordTokenizer:
     def _forget(self) -> None:
         self.place: dict[str, int] = {}
         self.bytes = 0
-        self.flat, self.end = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        self.flat, self.end, self.uses = np.zeros(0, np.uint32), np.zeros(1, np.int64), np.zeros(0, np.int64)
+
+    def _thin(self) -> None:
+        """Keeps the words that were used most, half the bytes at most; none that was used once."""
+        words, size = list(self.place), np.fromiter(map(len, self.place), np.int64, len(self.place))
+        order = np.argsort(-self.uses, kind="stable")
+        kept = np.sort(order[(np.cumsum(size[order]) <= self.most // 2) & (self.uses[order] > 1)])
+        length = np.diff(self.end)[kept]
+        self.flat, self.end = self.flat[W.ragged(self.end[kept], length)], np.concatenate([[0], np.cumsum(length)])
+        self.place, self.bytes, self.uses = {words[i]: n for n, i in enumerate(kept.tolist())}, int(size[kept].sum()), self.uses[kept] // 2
 
     def _places(self, words: pa.Array) -> np.ndarray:
         """Where each of the distinct words' ids are kept."""
         names = words.to_pylist()
         if self.bytes > self.most:
-            self._forget()
+            self._thin()
         place, encode = self.place, self.tokenizer.encode
         new = [w for w in dict.fromkeys(names) if w not in place]  # a word may be both a head and a tail
         if new:
@@ -70,7 +79,10 @@ class WordTokenizer:
             length = np.fromiter(map(len, ids), np.int64, len(ids))
             self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.uint32, int(length.sum()))])
             self.end = np.concatenate([self.end, self.end[-1] + np.cumsum(length)])
-        return np.fromiter(map(place.__getitem__, names), np.int64, len(names))
+            self.uses = np.concatenate([self.uses, np.zeros(len(new), np.int64)])
+        at = np.fromiter(map(place.__getitem__, names), np.int64, len(names))
+        self.uses[at] += 1
+        return at
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, bounds) of whole texts."""
