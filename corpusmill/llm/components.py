@@ -16,9 +16,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.llm.skew import heavy_keys
 from corpusmill.session import drop_materialised, materialise, share_code
 
 
+#: Nodes with more than one in so many ends of links are heavy.
+SHARE = 1000
+
+
 def local_roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The smallest position in the component of each of n positions, linked by pairs (a, b)."""
     root = np.arange(n)
@@ -65,10 +70,11 @@ def mark_of(links: DataFrame) -> tuple:
     return tuple(links.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1_000_003)).first())
 
 
-def _attach(links: DataFrame, on: str, name: str, least: DataFrame, total: int) -> DataFrame:
-    """``links`` with the minimum of the node ``on``. Nodes in more than a thousandth of all links, two thousand at most, are
-    broadcast; their links are dealt by both ends."""
-    hot = least.where(F.col("n") > max(256, total // 1000)).select(F.col("u").alias(on), F.col("m").alias("hot"))
+def _attach(links: DataFrame, on: str, name: str, least: DataFrame, heavy: list[int]) -> DataFrame:
+    """``links`` with the minimum of the node ``on``. Heavy nodes' minima are broadcast; their links are dealt by both ends."""
+    if not heavy:
+        return links.join(least.select(F.col("u").alias(on), F.col("m").alias(name)), on)
+    hot = least.where(F.col("u").isin(heavy)).select(F.col("u").alias(on), F.col("m").alias("hot"))
     dealt = links.join(F.broadcast(hot), on, "left").withColumn("at", F.when(F.col("hot").isNull(), F.col(on)).otherwise(F.xxhash64("u", "v")))
     found = dealt.join(least.select(F.col("u").alias("at"), F.col("m").alias("cold")), "at", "left")
     return found.withColumn(name, F.coalesce("hot", "cold")).drop("at", "hot", "cold")
@@ -80,8 +86,9 @@ def connected(links: DataFrame, a: str, b: str) -> DataFrame:
     mark = mark_of(now)
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("n"))
-        ends = _attach(_attach(now, "u", "mu", least, mark[0]), "v", "mv", least, mark[0])
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        heavy = [r.u for r in heavy_keys(both, ["u"], 2 * mark[0], SHARE, 256).collect()]  # fewer than 2 * SHARE
+        ends = _attach(_attach(now, "u", "mu", least, heavy), "v", "mv", least, heavy)
         lowest = F.least("mu", "mv")
         pairs = ends.select(F.explode(F.array(F.struct(F.col("u"), lowest.alias("v")), F.struct(F.col("v").alias("u"), lowest.alias("v")))).alias("l")).select("l.u", "l.v").where("u <> v")
         after = materialise(contract(pairs).distinct(), "links")

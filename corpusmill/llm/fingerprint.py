@@ -30,6 +30,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from corpusmill.llm import bitmaps
+
 BITS = 22
 #: Subsets of each level; level l keeps one id in 4**l.
 SLOTS = (16, 32, 32, 32)
@@ -102,11 +104,6 @@ def likeness(a: Column, b: Column) -> Column:
     return _let(same, decide)
 
 
-def bitmap_column(bits: np.ndarray) -> Column:
-    """The bitmap as a constant of the plan."""
-    return F.from_json(F.lit("[" + ",".join(map(str, bits.tolist())) + "]"), "array<bigint>")
-
-
 def bounds_of(rows: DataFrame) -> list[tuple[int, int]]:
     """Lower bounds (key, hash) of ranges of similar numbers of rows, all but the first range's, from a sample by hash of at
     most about ``SAMPLED`` times as many rows as there are ranges."""
@@ -148,7 +145,7 @@ def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
 def compare_with_next(docs: DataFrame, bits: np.ndarray, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, n_chars, edited (the text whose last half is replaced by the next document's start), code, edited_code and
     next_code of every document."""
-    bitmap = bitmap_column(bits)
+    bitmap = bitmaps.column_of(bits)
     rows = with_next(docs, key, text).repartition("part").withColumn("code", codes(F.col("text"), bitmap))
     order = Window.partitionBy("part").orderBy("guest", "order", F.coalesce("text", F.lit("")))
     rows = rows.withColumns({"next_text": F.lead("text").over(order), "next_code": F.lead("code").over(order)}).where(~F.col("guest"))

@@ -132,6 +132,7 @@ def fit(train: DataFrame, text: str = "text", lang: str = "lang", key: str = "do
         i, bits = languages.index(name), np.unpackbits(np.frombuffer(packed, np.uint8), bitorder="little").astype(np.uint64)
         slices[:, i // 64] |= bits << np.uint64(i % 64)
         rates[i] = bits.mean() ** hashes
+    W.trim()
     return Filters(languages, slices, rates, sizes, hashes)
 
 

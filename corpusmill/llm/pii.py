@@ -28,16 +28,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from corpusmill.llm.fingerprint import bitmap_column
+from corpusmill.llm import bitmaps
 from corpusmill.session import drop_materialised, materialise
 
-#: Bits of the map of word pairs, as a power of two.
-BITS = 22
 KINDS = ("email", "ip", "card", "phone")
 FOUND = "id"
 #: Possessive repeats and look-behinds only spare retries that cannot match; the matches are those of the plain patterns.
@@ -134,19 +131,6 @@ def occurrences(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
     return rows.select("key", "text_hash", "kind", "start", "end", F.col("match").alias("value"), "pattern", "copies")
 
 
-def _place(pair: Column) -> Column:
-    return F.pmod(pair, F.lit(1 << BITS)).cast("int")
-
-
-def _bit(place: Column) -> Column:
-    return F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(63))
-
-
-def _in_bitmap(bits: np.ndarray) -> Callable[[Column], Column]:
-    known = bitmap_column(bits)
-    return lambda pair: F.get(known, F.shiftright(_place(pair), 6)).bitwiseAND(_bit(_place(pair))) != 0
-
-
 def pattern_counts(docs: DataFrame, patterns: DataFrame, text: str = "text", least_confidence: float = 0.6) -> DataFrame:
     """Occurrences in the whole corpus of the two tokens of each of ``patterns`` (pattern, ceiling: how often any identifier
     follows it) that can reach the confidence: pattern, total.
@@ -156,16 +140,13 @@ def pattern_counts(docs: DataFrame, patterns: DataFrame, text: str = "text", lea
     frequent pairs of tokens drop out early, and nothing that could be trusted does. A bitmap of fixed size drops most pairs
     that are no pattern before they become rows; what passes is counted per task, shuffled by hash and joined, however many
     patterns there are."""
-    at = _place(F.col("pair"))
     wanted = patterns.select("pattern", "ceiling", F.xxhash64(F.element_at(F.split("pattern", " "), 1), F.element_at(F.split("pattern", " "), 2)).alias("pair"))
     for part in (1, 16, 256):  # of 256
         wanted = materialise(wanted, "pii-wanted")
-        bits = np.zeros(1 << (BITS - 6), np.int64)
-        for word, some in wanted.groupBy(F.shiftright(at, 6).alias("word")).agg(F.bit_or(_bit(at))).toLocalIterator():
-            bits[word] = some
+        may = bitmaps.test(bitmaps.of(wanted.select("pair"), "pair"))
         cut = docs.where(F.col(text).isNotNull() & (F.pmod(F.xxhash64(text), F.lit(256)) < part)).select(tokens(F.col(text)).alias("w"))
         pairs = F.zip_with(F.slice("w", 1, F.greatest(F.size("w") - 1, F.lit(0))), F.slice("w", 2, F.size("w")), lambda a, b: F.xxhash64(a, b))
-        counts = cut.select(F.explode(F.filter(pairs, _in_bitmap(bits))).alias("pair")).groupBy("pair").agg(F.count("*").alias("total"))
+        counts = cut.select(F.explode(F.filter(pairs, may)).alias("pair")).groupBy("pair").agg(F.count("*").alias("total"))
         wanted = wanted.join(counts, "pair", "left").where(F.coalesce("total", F.lit(0)) * least_confidence <= F.col("ceiling"))
         wanted = wanted if part == 256 else wanted.drop("total")
     return wanted.where("total is not null").select("pattern", "total")

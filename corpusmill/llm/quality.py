@@ -150,7 +150,10 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "qu
     rows = docs.select(key, F.col(text).alias("__text")).join(F.broadcast(chosen), key).groupBy(key).agg(F.min_by("__text", F.xxhash64("__text")).alias("__text"), F.first("__y").alias("__y")).orderBy(F.xxhash64(key), key).select("__text", "__y").toArrow()
     texts = pc.fill_null(rows.column(0).combine_chunks().cast(pa.large_string()), "")
     vectors = word_vectors(texts, size, dim, window, seed)
-    return train(pool(texts, vectors), rows.column(1).to_numpy().astype(int), vectors, hidden, epochs, seed)
+    model = train(pool(texts, vectors), rows.column(1).to_numpy().astype(int), vectors, hidden, epochs, seed)
+    del rows, texts
+    W.trim()  # the driver's memory is small
+    return model
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str | Column, ...] = ("doc_id",)) -> DataFrame:

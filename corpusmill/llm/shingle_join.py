@@ -20,8 +20,8 @@ their intersection is at least ``num / den`` of their union; a document's compon
 Rows leave a task as links of a spanning forest, at most one per set and task, never as pairs.
 
 Edge cases: null, empty and wordless texts have the empty set and link with nothing; with fewer than k words the sequence
-is one shingle; rows that share their id are told apart by their sets, and may be in different components; a null id is never
-the smallest of a component that has another; an empty table gives an empty result; extra columns are ignored; whole texts
+is one shingle; rows that share their id are told apart by their sets, and may be in different components; a set that only
+rows without an id have links with no other; an empty table gives an empty result; extra columns are ignored; whole texts
 are read.
 """
 
@@ -37,6 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.llm import bitmaps
 from corpusmill.llm import words as W
 from corpusmill.llm.components import connected
 from corpusmill.llm.skew import with_unique
@@ -385,7 +386,9 @@ def link(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, text: str =
     chosen = materialise(block.join(classes, "class").select("class", "block", "rep", "n"), "shingle-placed")
     sizes = chosen.groupBy("block").agg(F.count("*").alias("size")).where("size > 1")
     chosen = with_unique(chosen, sizes, ["block"]).where("size > 1").withColumn("tiles", F.ceil(F.col("size") / TILE))
-    chosen = materialise(chosen.join(rows, F.col("rep") == F.col("key")).select("class", "block", "n", "tiles", "text"), "shingle-blocks")
+    # texts that are in no block stay where they are
+    may = bitmaps.test(bitmaps.of(chosen.select(F.xxhash64("rep").alias("at")), "at"))
+    chosen = materialise(chosen.join(rows.where(may(F.xxhash64("key"))), F.col("rep") == F.col("key")).select("class", "block", "n", "tiles", "text"), "shingle-blocks")
 
     free_shuffles(spark)
 
