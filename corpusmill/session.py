@@ -10,8 +10,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
-#: Allocators that hold on to nothing.
-_WORKERS = {"MALLOC_ARENA_MAX": "1", "MALLOC_MMAP_THRESHOLD_": "262144", "ARROW_DEFAULT_MEMORY_POOL": "system"}
+#: Allocators that hold little: one arena, large blocks go back when they are freed, others when an operator asks for it.
+_WORKERS = {"MALLOC_ARENA_MAX": "1", "MALLOC_MMAP_THRESHOLD_": str(8 << 20), "MALLOC_TRIM_THRESHOLD_": str(64 << 20), "ARROW_DEFAULT_MEMORY_POOL": "system"}
 #: Intermediate tables that this process has written.
 _MADE: list[str] = []
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -26,7 +26,7 @@ def share_code(spark: SparkSession) -> None:
     """Prepares a session for Python operators: workers on this host can import the package when it is run from a checkout
     (on a cluster it is shipped with ``--py-files`` or installed), and Arrow batches are bounded in bytes, so that rows of
     very long texts do not fill a worker. A bound that the session's owner has chosen stays. Workers give freed memory back
-    at once: they live on from task to task beside their executor's heap.
+    early: they live on from task to task beside their executor's heap.
     """
     env = spark.sparkContext.environment
     have = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
