@@ -70,7 +70,7 @@ def word_grams(distinct: list[str], sizes: tuple[int, ...]) -> tuple[np.ndarray,
             continue
         m = len(code) - n + 1
         h = np.full(m, np.uint64(n))
-        blanks = np.zeros(m, np.int64)
+        blanks = np.zeros(m, np.int8)
         for k in range(n):
             part = code[k : k + m]
             h = (h ^ part) * np.uint64(0x100000001B3) + (h >> np.uint64(41))
@@ -87,7 +87,7 @@ def word_grams(distinct: list[str], sizes: tuple[int, ...]) -> tuple[np.ndarray,
     return np.concatenate(hashes)[order], np.concatenate([[0], np.cumsum(np.bincount(owners_all, minlength=len(marked)))]), letters
 
 
-def gram_counts(distinct: list[str], n: np.ndarray, sizes: tuple[int, ...], portion: int = 1 << 16) -> tuple[np.ndarray, np.ndarray]:
+def gram_counts(distinct: list[str], n: np.ndarray, sizes: tuple[int, ...], portion: int = 1 << 13) -> tuple[np.ndarray, np.ndarray]:
     """(n-gram hashes, how often they occur) in strings that occur n times each."""
     grams, total = np.zeros(0, np.uint64), np.zeros(0)
     for at in range(0, len(distinct), portion):
@@ -136,7 +136,7 @@ def fit(train: DataFrame, text: str = "text", lang: str = "lang", key: str = "do
     return Filters(languages, slices, rates, sizes, hashes)
 
 
-def word_scores(model: Filters, distinct: list[str], portion: int = 1 << 14) -> np.ndarray:
+def word_scores(model: Filters, distinct: list[str], portion: int = 1 << 12) -> np.ndarray:
     """One row per string: hits of each language, then n-grams, then 1 if there is a letter."""
     k = len(model.languages)
     out = np.zeros((len(distinct), k + 2))
