@@ -29,8 +29,8 @@ def of(hashes: DataFrame, name: str) -> np.ndarray:
     """The words of the bitmap of a column of 64-bit hashes; the driver gets no more than these words."""
     at = _place(F.col(name))
     bits = np.zeros(1 << (BITS - 6), np.int64)
-    for word, some in hashes.groupBy(F.shiftright(at, 6).alias("word")).agg(F.bit_or(_bit(at))).toLocalIterator():
-        bits[word] = some
+    found = hashes.groupBy(F.shiftright(at, 6).alias("word")).agg(F.bit_or(_bit(at)).alias("some")).toArrow()  # one job for all partitions
+    bits[found["word"].to_numpy()] = found["some"].to_numpy()
     return bits
 
 

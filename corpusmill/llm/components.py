@@ -5,6 +5,9 @@ A round is one map-side combined minimum and two joins; the few nodes that hold
 get their minimum by a broadcast, so no task gathers a root's links. Before a round's links are shuffled, each task contracts its own
 to a spanning forest of stars, so what moves is bounded by the nodes a task has seen. Rounds are written to the shared folder:
 neither lineage nor the loss of executors grows with them. Nothing reaches the driver but two numbers a round.
+
+As soon as no more than ``FEW`` links are left, whatever the size of the corpus, one task makes all of them stars (8 MB of links):
+a round costs several shuffles, which many small partitions make slow.
 """
 
 from __future__ import annotations
@@ -22,6 +25,8 @@ from corpusmill.session import drop_materialised, materialise, share_code
 
 #: Nodes with more than one in so many ends of links are heavy.
 SHARE = 1000
+#: So many links one task takes.
+FEW = 500_000
 
 
 def local_roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -45,7 +50,7 @@ def stars(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[moved], root[moved]
 
 
-def contract(links: DataFrame, most: int = 2_000_000) -> DataFrame:
+def contract(links: DataFrame, most: int = 500_000) -> DataFrame:
     """Links (u, v) with the same components, contracted per task in portions of at most ``most``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -80,11 +85,18 @@ def _attach(links: DataFrame, on: str, name: str, least: DataFrame, heavy: list[
     return found.withColumn(name, F.coalesce("hot", "cold")).drop("at", "hot", "cold")
 
 
-def connected(links: DataFrame, a: str, b: str) -> DataFrame:
-    """(node, component) for every node of ``links`` that has a link to another; component: the smallest node reachable."""
-    now = materialise(links.select(F.greatest(F.col(a), F.col(b)).cast("long").alias("u"), F.least(F.col(a), F.col(b)).cast("long").alias("v")).where("u <> v").distinct(), "links")
+def connected(links: DataFrame, a: str, b: str, few: int | None = None) -> DataFrame:
+    """(node, component) for every node of ``links`` that has a link to another; component: the smallest node reachable.
+    The last ``few`` (``FEW``) links are left to one task."""
+    few = FEW if few is None else few
+    ends = links.select(F.greatest(F.col(a), F.col(b)).cast("long").alias("u"), F.least(F.col(a), F.col(b)).cast("long").alias("v")).where("u <> v")
+    now = materialise(contract(ends), "links")
     mark = mark_of(now)
-    while True:
+    if mark[0] > few:
+        now, last = materialise(now.distinct(), "links"), now
+        mark = mark_of(now)
+        drop_materialised(last)
+    while mark[0] > few:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         heavy = [r.u for r in heavy_keys(both, ["u"], 2 * mark[0], SHARE, 256).collect()]  # fewer than 2 * SHARE
@@ -97,4 +109,9 @@ def connected(links: DataFrame, a: str, b: str) -> DataFrame:
         now = after
         if mark == last:
             break
+    else:
+        if mark[0]:
+            after = materialise(contract(now.coalesce(1), max(few, 1)), "links")
+            drop_materialised(now)
+            now = after
     return now.unionByName(now.select(F.col("v").alias("u"), "v").distinct()).select(F.col("u").alias("node"), F.col("v").alias("component"))

@@ -48,7 +48,9 @@ TILE = 512
 #: Tasks that the tile pairs of one size class of a block are dealt to.
 DEALS = 32
 #: Keys that a task gathers before it sends them on.
-GATHER = 800_000
+GATHER = 400_000
+#: Characters of text whose keys one task pairs.
+BUCKET = 12_500_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -311,15 +313,16 @@ def link(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, text: str =
     spark = docs.sparkSession
     share_code(spark)
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil((rows.agg(F.sum(F.length("text"))).first()[0] or 0) / 25e6))
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil((rows.agg(F.sum(F.length("text"))).first()[0] or 0) / BUCKET))
 
     # each document's class, and its keys, packed by bucket
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def flush() -> pa.RecordBatch:
-            key_, least, *many = stars(np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held]))
+            key_, least = np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held])
             held.clear()
+            key_, least, *many = stars(key_, least)
             where = (key_ >> np.uint64(33)).astype(np.int64) % buckets
             order = np.argsort(where, kind="stable")
             cut = np.concatenate([[0], np.cumsum(np.bincount(where, minlength=buckets))]).tolist()
@@ -355,7 +358,9 @@ def link(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, text: str =
             key_ += [np.frombuffer(x, np.uint64) for x in batch.column("keys").to_pylist()]
             member += [np.frombuffer(x, np.int64) for x in batch.column("members").to_pylist()]
         if key_:
-            yield rows_of(*stars(np.concatenate(key_), np.concatenate(member))[2:])
+            batch = None
+            key_, member = np.concatenate(key_), np.concatenate(member)  # the parts go before the whole is sorted
+            yield rows_of(*stars(key_, member)[2:])
             del key_, member
             W.trim()
 
@@ -385,7 +390,7 @@ def link(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, text: str =
     classes = described.where("class is not null").groupBy("class", "check").agg(F.min("key").alias("rep"), F.first("n").alias("n"))
     chosen = materialise(block.join(classes, "class").select("class", "block", "rep", "n"), "shingle-placed")
     sizes = chosen.groupBy("block").agg(F.count("*").alias("size")).where("size > 1")
-    chosen = with_unique(chosen, sizes, ["block"]).where("size > 1").withColumn("tiles", F.ceil(F.col("size") / TILE))
+    chosen = materialise(with_unique(chosen, sizes, ["block"]).where("size > 1").withColumn("tiles", F.ceil(F.col("size") / TILE)), "shingle-sized")
     # texts that are in no block stay where they are
     may = bitmaps.test(bitmaps.of(chosen.select(F.xxhash64("rep").alias("at")), "at"))
     chosen = materialise(chosen.join(rows.where(may(F.xxhash64("key"))), F.col("rep") == F.col("key")).select("class", "block", "n", "tiles", "text"), "shingle-blocks")

@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.session import materialise
+
+#: Rows of a lookup that are broadcast as they are.
+FEW = 50_000
+
 
 def heavy_keys(rows: DataFrame, on: list[str], total: int, share: int, least: int, sampled: int = 500_000) -> DataFrame:
     """Keys with about one in ``share`` of all rows or more, and ``least`` rows or more: fewer than twice ``share``. They are
@@ -18,10 +23,13 @@ def heavy_keys(rows: DataFrame, on: list[str], total: int, share: int, least: in
 def with_unique(rows: DataFrame, lookup: DataFrame, on: list[str], share: int = 2000, least: int = 256) -> DataFrame:
     """``rows`` with the other columns of ``lookup``, which holds a key at most once (a left join).
 
-    Keys with more than about one in ``share`` of all rows, so few of them, get theirs by a broadcast of that bounded number
+    A lookup of at most ``FEW`` rows is broadcast, and nothing is shuffled. Of larger ones, keys with more than about one in ``share`` of all rows, so few of them, get theirs by a broadcast of that bounded number
     of rows; their rows are dealt by a hash of the whole row. All others meet by key. Null keys find nothing.
     """
     names = [c for c in lookup.columns if c not in on]
+    lookup = materialise(lookup, "lookup")
+    if lookup.count() <= FEW:
+        return rows.join(F.broadcast(lookup.select(*on, *names)), on, "left").select(*rows.columns, *names)
     heavy = heavy_keys(rows, on, rows.count(), share, least)
     hot = lookup.join(F.broadcast(heavy), on, "left_semi").select(*on, F.struct(*names).alias("__hot"))
     # null keys, too, would all meet in one task

@@ -10,7 +10,8 @@ import pytest
 pytest.importorskip("corpusmill.llm")
 pytest.importorskip("public_tokenizers")
 
-from corpusmill.llm import components, lang_id, near_vectors, quality, queries, shingle_join  # noqa: E402
+from corpusmill.llm import components, lang_id, near_vectors, quality, queries, shingle_join, skew  # noqa: E402
+from corpusmill.session import materialise  # noqa: E402
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -133,6 +134,33 @@ def test_components(spark):
     assert got == {x: groups.root(x) for x in linked}
 
 
+def test_components_rounds_and_last_task(spark, monkeypatch):
+    """A chain takes many rounds; few links are left to one task instead, with the same components."""
+    pairs = [(i, i + 1) for i in range(300)] + [(1000 + i, 2000) for i in range(300)]
+    links = spark.createDataFrame(pairs, "a long, b long").repartition(5)
+    wanted = {i: 0 for i in range(301)} | {x: 1000 for x in (*range(1000, 1300), 2000)}
+    written = []
+    monkeypatch.setattr(components, "materialise", lambda df, label: written.append(label) or materialise(df, label))
+    got = [{r.node: r.component for r in components.connected(links, "a", "b", few).collect()} for few in (0, 100, 400)]
+    assert got == [wanted] * 3
+    written.clear()
+    components.connected(links, "a", "b")
+    assert len(written) <= 2
+    assert components.connected(links.where("a < 0"), "a", "b").isEmpty()
+
+
+def test_with_unique(spark, monkeypatch):
+    rows = spark.createDataFrame([(7 if i % 3 else i, None if i % 50 == 0 else "x", i) for i in range(3000)], "k long, s string, i long").repartition(5)
+    lookup = spark.createDataFrame([(i, "x", 2 * i) for i in range(0, 3000, 2)] + [(7, "x", -1), (9, None, -2)], "k long, s string, found long")
+    got = []
+    for few in (skew.FEW, 0):
+        monkeypatch.setattr(skew, "FEW", few)
+        joined = skew.with_unique(rows, lookup, ["k", "s"], share=100, least=8)
+        got.append(({(r.k, r.s, r.i): r.found for r in joined.collect()}, "SortMergeJoin" in joined._jdf.queryExecution().toString()))
+    assert got[0][0] == got[1][0] == {(r.k, r.s, r.i): None if r.s is None else -1 if r.k == 7 else 2 * r.k if r.k % 2 == 0 else None for r in rows.collect()}
+    assert not got[0][1]  # a small lookup shuffles nothing
+
+
 def brute_vectors(rows):
     good = [r[1] is not None and r[2] is not None and all(v is not None and np.isfinite(v) for v in r[1]) and any(r[1]) for r in rows]
     groups, links, labels = Sets(len(rows)), [0] * len(rows), defaultdict(list)
