@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.llm import lang_id, packing, pii, quality, shingle_join
 from corpusmill.llm.queries import QUALITY_LEAST, fold, quality_model
-from corpusmill.session import drop_materialised, materialise, table
+from corpusmill.session import drop_materialised, free_heaps, materialise, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Least share of a text's n-grams (one to four characters) that its language must have, without what the filters give by
@@ -59,12 +59,22 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+def _fresh(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """The stage, begun on heaps that no earlier stage has filled."""
+
+    def begin(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        free_heaps(spark)
+        return stage(spark, docs, sf_dir)
+
+    return begin
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("quality", quality_stage),
-    ("language", language_stage),
-    ("near_duplicates", duplicate_stage),
-    ("personal_data", private_stage),
-    ("packing", packing_stage),
+    ("quality", _fresh(quality_stage)),
+    ("language", _fresh(language_stage)),
+    ("near_duplicates", _fresh(duplicate_stage)),
+    ("personal_data", _fresh(private_stage)),
+    ("packing", _fresh(packing_stage)),
 ]
 
 #: Trained models, bootstrapped patterns and tokenizers are beyond SQL; tests hold the stages against brute force.

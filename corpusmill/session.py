@@ -8,6 +8,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 #: Allocators that hold little: one arena, large blocks go back when they are freed, others when an operator asks for it.
@@ -86,3 +87,10 @@ def free_shuffles(spark: SparkSession) -> None:
     which in a long job on a small driver may come late."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+
+
+def free_heaps(spark: SparkSession) -> None:
+    """Lets executors collect their garbage and give the heap that it took back to the machine. A heap does not shrink by
+    itself, and the workers beside it in a later stage need the room. As many short tasks as there are cores reach them."""
+    n = spark.sparkContext.defaultParallelism
+    spark.range(0, n, 1, n).select(F.reflect(F.lit("java.lang.System"), F.lit("gc")).alias("done")).write.format("noop").mode("overwrite").save()

@@ -18,3 +18,14 @@ def test_materialise_and_drop(spark):
     spark.range(3).write.parquet(f"{folder}/mine")
     session.drop_materialised(spark.read.parquet(f"{folder}/mine"))
     assert spark.read.parquet(f"{folder}/mine").count() == 3
+
+
+def test_stages_begin_on_collected_heaps(spark):
+    import corpus_pipeline
+
+    beans = spark.sparkContext._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+    full = lambda: sum(b.getCollectionCount() for b in beans if "Old" in b.getName() or "MarkSweep" in b.getName())
+    docs = spark.createDataFrame([(1, "a b", "en", "s", 3)], "doc_id long, text string, lang string, source string, n_chars long")
+    for name, stage in corpus_pipeline.STAGES[-1:]:
+        before = full()
+        assert stage(spark, docs, "").count() > 0 and full() > before, name
