@@ -450,13 +450,20 @@ def _join_tiles(large: DataFrame, shared: DataFrame, parts: DataFrame, k: int, n
 
     now = materialise(placed_parts(), "shingle-now")
     open_blocks = now.groupBy("block").agg(F.count("*").alias("docs"), F.min("start").alias("lo"), F.max("start").alias("hi")).where("lo <> hi")
-    grouped = shared.select("g", F.col("a").alias("class")).distinct().join(now, "class")
-    groups = grouped.groupBy("g").agg(F.min("block").alias("block"), F.count("*").alias("members"), F.struct(F.bit_xor(F.xxhash64("class")).alias("x"), F.bit_xor(F.xxhash64("class", F.lit(1))).alias("y")).alias("mark"), F.min("start").alias("lo"), F.max("start").alias("hi")).where("lo <> hi")
-    groups = materialise(groups.groupBy("block", "members", "mark").agg(F.min("g").alias("g")), "shingle-groups")  # equal groups once
-    costs = open_blocks.join(groups.groupBy("block").agg(F.sum("members").alias("by_key")), "block", "left")
+    # equal groups once, from the keys alone: joining every key's sets to learn the way takes more rows than the way itself
+    groups = shared.groupBy("g", "b").agg(F.count("*").alias("members"), F.struct(F.bit_xor(F.xxhash64("a")).alias("x"), F.bit_xor(F.xxhash64("a", F.lit(1))).alias("y")).alias("mark"))
+    groups = groups.groupBy("b", "members", "mark").agg(F.min("g").alias("g")).join(now.select(F.col("class").alias("b"), "block").distinct(), "b")
+    groups = materialise(groups.select("g", "block", "members"), "shingle-groups")
+    cost = F.when(F.col("members") <= TILE, F.col("members")).otherwise(F.col("members") * F.col("members") / TILE)  # larger groups are tiled, too
+    costs = open_blocks.join(groups.groupBy("block").agg(F.sum(cost).alias("by_key")), "block", "left")
     costs = materialise(costs.select("block", (F.coalesce("by_key", F.lit(0)) < F.col("docs") * F.col("docs") / TILE).alias("keyed")), "shingle-costs")
     units = with_unique(now, costs, ["block"]).where("not keyed").select(F.col("block").alias("unit"), "class", "start", "n")
-    units = units.unionByName(grouped.join(groups.join(costs.where("keyed"), "block", "left_semi").select("g"), "g", "left_semi").select(F.col("g").alias("unit"), "class", "start", "n"))
+    keyed = costs.where("keyed")
+    if not keyed.isEmpty():
+        wanted = groups.join(keyed, "block", "left_semi").select("g")
+        grouped = materialise(shared.select("g", F.col("a").alias("class")).join(wanted, "g", "left_semi").join(now, "class"), "shingle-grouped")
+        apart = grouped.groupBy("g").agg(F.min("start").alias("lo"), F.max("start").alias("hi")).where("lo <> hi").select("g")
+        units = units.unionByName(grouped.join(apart, "g", "left_semi").select(F.col("g").alias("unit"), "class", "start", "n"))
     units = materialise(units, "shingle-unsized")
     units = materialise(with_unique(units, units.groupBy("unit").agg(F.count("*").alias("members")), ["unit"]), "shingle-units")
     small = units.where(F.col("members") <= TILE).select("unit", "class", "start", F.lit(None).cast("int").alias("side"))

@@ -101,6 +101,60 @@ def test_shingle_join_ends_when_all_is_one_component(spark, monkeypatch):
     assert {r.component_id for r in shingle_join.link(df, 5, 80, 100).collect()} == {0}
 
 
+def rows_joined_by_class(spark, run):
+    """What ``run`` returns, and the rows that inner joins of classes made meanwhile."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    listed = lambda seq: [seq.apply(i) for i in range(seq.size())]
+    spark.range(1).write.format("noop").mode("overwrite").save()
+    before = max(e.executionId() for e in listed(store.executionsList()))
+    result, made = run(), 0
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    for number in [e.executionId() for e in listed(store.executionsList()) if e.executionId() > before]:
+        values = store.executionMetrics(number)
+        for node in listed(store.planGraph(number).allNodes()):
+            if re.search(r"Join \[class#\d+L\], \[class#\d+L\], Inner", node.desc()):
+                counts = [values.get(m.accumulatorId()) for m in listed(node.metrics()) if m.name() == "number of output rows"]
+                made += sum(int(c.get().replace(",", "")) for c in counts if c.isDefined())
+    return result, made
+
+
+@pytest.mark.parametrize("tile", [20, 90])
+def test_large_blocks_do_not_join_the_sets_of_every_key(spark, monkeypatch, tile):
+    """Relatives that share many keys but hardly link: no more rows than the way that is taken needs."""
+    monkeypatch.setattr(shingle_join, "TILE", tile)
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(100):
+        copy = list(base)
+        for at in rng.sample(range(150), 5 if i % 4 else 1):
+            copy[at] = f"x{i}"
+        rows.append((i, " ".join(copy)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got, made = rows_joined_by_class(spark, lambda: sorted(map(tuple, shingle_join.link(df, 5, 80, 100).collect())))
+    assert got == brute_join(rows, 5, 80, 100)
+    # blocks, two rounds of tiles, and the pairs of tiles
+    assert 0 < made <= 6 * 100 + 2 * 100 * 100 / tile
+
+
+@pytest.mark.parametrize("keyed", [True, False])
+def test_shingle_join_by_keys_and_by_tiles(spark, hard_rows, monkeypatch, keyed):
+    """Both ways through large blocks find the same links, whichever is less."""
+    monkeypatch.setattr(shingle_join, "TILE", 60)
+    written, write = [], shingle_join.materialise
+
+    def recorded(df, label="step"):
+        if label == "shingle-costs":
+            df = df.withColumn("keyed", shingle_join.F.lit(keyed))
+        written.append(label)
+        return write(df, label)
+
+    monkeypatch.setattr(shingle_join, "materialise", recorded)
+    df = spark.createDataFrame(hard_rows, "doc_id long, text string").repartition(4)
+    assert sorted(map(tuple, shingle_join.link(df, 5, 80, 100).collect())) == brute_join(hard_rows, 5, 80, 100)
+    assert ("shingle-grouped" in written) == keyed
+
+
 def test_shingle_join_empty(spark):
     assert shingle_join.link(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
