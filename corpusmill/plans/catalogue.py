@@ -6,7 +6,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,7 +14,7 @@ from pyspark.sql.window import Window
 
 from corpusmill.functions import codec, html, mime, paths
 from corpusmill.operators import analysis, documents, links, serve, store, toc, tooltips
-from corpusmill.session import share_code, shared_dir, table
+from corpusmill.session import scratch, share_code, table
 from corpusmill.sources import files
 from corpusmill.streaming import ingest
 
@@ -245,7 +244,7 @@ SELECT up || path AS source, path, coalesce(bad, CASE WHEN n > 1 THEN 'duplicate
 def ingest_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The store's own ingest, read back: rejects, first acceptable file of a path, content."""
     share_code(spark)
-    home = f"{shared_dir(spark).rstrip('/')}/corpusmill-store-{uuid.uuid4().hex}"
+    home = scratch(spark, "store")
     k, which = F.floor(F.col("page_id") / 3), F.floor(F.col("page_id") / 3) % 5
     path = F.concat(F.element_at(F.array(*map(F.lit, ("../", "./", ""))), (F.col("page_id") % 3 + 1).cast("int")), F.lit("p"), k.cast("string"), F.when(which == 1, ".txt").when(which == 2, ".log").otherwise(".png"))
     picture = F.unhex(F.replace(F.lit(_PNG), F.lit("{}"), F.lpad(F.hex("page_id"), 8, "0")))

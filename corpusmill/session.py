@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 _BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 #: Allocators that hold little: one arena, large blocks go back when they are freed, others when an operator asks for it.
 _WORKERS = {"MALLOC_ARENA_MAX": "1", "MALLOC_MMAP_THRESHOLD_": str(8 << 20), "MALLOC_TRIM_THRESHOLD_": str(64 << 20), "ARROW_DEFAULT_MEMORY_POOL": "system"}
-#: Intermediate tables that this process has written.
+#: Folders of intermediate tables and stores that this process has written.
 _MADE: list[str] = []
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
@@ -54,17 +54,23 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """The path of a new folder in the shared one, which :func:`clean` deletes."""
+    path = f"{shared_dir(spark).rstrip('/')}/corpusmill-{label}-{uuid.uuid4().hex}"
+    _MADE.append(path)
+    return path
+
+
 def materialise(df: DataFrame, label: str = "step") -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: lineage is cut, lost executors cost nothing."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/corpusmill-{label}-{uuid.uuid4().hex}"
+    path = scratch(spark, label)
     df.write.parquet(path)
-    _MADE.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def clean(spark: SparkSession) -> None:
-    """Delete all intermediate tables of this process; to be called when no result is read any more."""
+    """Delete all intermediate tables and stores of this process; to be called when no result is read any more."""
     while _MADE:
         _delete(spark, _MADE.pop())
 

@@ -20,6 +20,15 @@ def test_materialise_and_drop(spark):
     assert spark.read.parquet(f"{folder}/mine").count() == 3
 
 
+def test_stores_of_queries_go(spark, sf_dir):
+    from corpusmill.plans import catalogue
+
+    folder = session.shared_dir(spark).removeprefix("file://")
+    assert catalogue.QUERIES["ingest_store"](spark, sf_dir).count() > 0 and glob.glob(f"{folder}/corpusmill-store-*")
+    session.clean(spark)
+    assert not glob.glob(f"{folder}/corpusmill-store-*")
+
+
 def test_stages_begin_on_collected_heaps(spark):
     import corpus_pipeline
 
